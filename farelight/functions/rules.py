@@ -1,13 +1,9 @@
-"""Row rules for trips, each a named boolean column, and guarded ratios."""
+"""Row rules for trips, each a named condition, and guarded ratios."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, functions as F
 
-from farelight.functions.timecols import as_time
 from farelight.schemas import DROPOFF, PICKUP
 
 # Columns every trip file must have.
@@ -28,33 +24,46 @@ def check_mode(mode: str) -> None:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
 
 
-def row_rules(mode: str = "strict") -> dict[str, Column]:
-    """Rule name to keep-condition; a null condition rejects the row.
-
-    NaN compares above every number in Spark, so ``strict`` adds a NaN check to the
-    numeric rules and ``reference`` leaves it out.
+# The keep-condition of each row rule. A null condition rejects the row,
+# so only tip and payment may be missing.
+_PICKUP_TIME = f"try_cast({PICKUP} AS timestamp)"
+_DROPOFF_TIME = f"try_cast({DROPOFF} AS timestamp)"
+ROW_RULES = {
+    "fare_not_negative": "fare_amount >= 0",
+    "total_not_negative": "total_amount >= 0",
+    "distance_positive": "trip_distance > 0",
+    "passengers_0_to_8": "passenger_count BETWEEN 0 AND 8",
+    "times_present": f"{_PICKUP_TIME} IS NOT NULL AND {_DROPOFF_TIME} IS NOT NULL",
+    "dropoff_not_before_pickup": f"{_DROPOFF_TIME} >= {_PICKUP_TIME}",
+    "tip_missing_or_not_negative": "tip_amount IS NULL OR tip_amount >= 0",
+    "payment_missing_or_1_to_6": "payment_type IS NULL OR payment_type BETWEEN 1 AND 6",
+}
+
+# NaN compares above every number in Spark and would pass these.
+NOT_NAN = {
+    "fare_not_negative": "fare_amount",
+    "total_not_negative": "total_amount",
+    "distance_positive": "trip_distance",
+    "tip_missing_or_not_negative": "tip_amount",
+}
+
+
+def row_rules(mode: str = "strict") -> dict[str, str]:
+    """Rule name to SQL keep-condition.
+
+    ``strict`` also rejects NaN in numeric columns; ``reference`` lets it through.
     """
     check_mode(mode)
-
-    def number(name: str, condition: Column) -> Column:
-        return condition & ~F.isnan(name) if mode == "strict" else condition
-
-    tip, payment = F.col("tip_amount"), F.col("payment_type")
-    pickup, dropoff = as_time(PICKUP), as_time(DROPOFF)
+    if mode == "reference":
+        return dict(ROW_RULES)
     return {
-        "fare_not_negative": number("fare_amount", F.col("fare_amount") >= 0),
-        "total_not_negative": number("total_amount", F.col("total_amount") >= 0),
-        "distance_positive": number("trip_distance", F.col("trip_distance") > 0),
-        "passengers_0_to_8": F.col("passenger_count").between(0, 8),
-        "times_present": pickup.isNotNull() & dropoff.isNotNull(),
-        "dropoff_not_before_pickup": dropoff >= pickup,
-        "tip_missing_or_not_negative": tip.isNull() | number("tip_amount", tip >= 0),
-        "payment_missing_or_1_to_6": payment.isNull() | payment.between(1, 6),
+        name: f"({rule}) AND NOT isnan({NOT_NAN[name]})" if name in NOT_NAN else rule
+        for name, rule in ROW_RULES.items()
     }
 
 
 def all_rules(mode: str = "strict") -> Column:
-    return reduce(and_, row_rules(mode).values())
+    return F.expr(" AND ".join(f"({rule})" for rule in row_rules(mode).values()))
 
 
 def percentage(part: Column, whole: Column) -> Column:

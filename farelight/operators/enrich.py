@@ -1,9 +1,8 @@
 """Zone enrichment.
 
-The joins carry no hint. Spark compares the size of the lookup with
-``spark.sql.autoBroadcastJoinThreshold`` and broadcasts it only below that; beyond, it
-sorts and merges, and adaptive execution splits a location that holds a large part of
-the trips (``spark.sql.adaptive.skewJoin.enabled``).
+A lookup is broadcast only after its rows have been counted up to a bound. A larger one
+is joined by shuffle, where adaptive execution splits a location that holds a large part
+of the trips (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -14,6 +13,15 @@ from farelight.schemas import ZONE_SCHEMA
 
 PICKUP_ZONE, DROPOFF_ZONE = "PULocationID", "DOLocationID"
 
+# A zone row takes some hundred bytes, so this keeps a broadcast near ten megabytes.
+BROADCAST_ROWS = 100_000
+
+
+def sized(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a lookup for broadcast if it has at most ``max_rows`` rows; else leave it be."""
+    small = lookup.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(lookup) if small else lookup
+
 
 def _join_zone(trips: DataFrame, zones: DataFrame, location: str, prefix: str) -> DataFrame:
     lookup = zones.select(*[F.col(c).alias(f"{prefix}{c}") for c in ZONE_SCHEMA.names])
@@ -23,17 +31,19 @@ def _join_zone(trips: DataFrame, zones: DataFrame, location: str, prefix: str) -
 
 def enrich_pickup(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Add ``PU_`` zone columns; trips without a known pickup zone are dropped."""
-    return _join_zone(trips, zones, PICKUP_ZONE, "PU_")
+    return _join_zone(trips, sized(zones), PICKUP_ZONE, "PU_")
 
 
 def enrich_dropoff(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Add ``DO_`` zone columns; trips without a known dropoff zone are dropped."""
-    return _join_zone(trips, zones, DROPOFF_ZONE, "DO_")
+    return _join_zone(trips, sized(zones), DROPOFF_ZONE, "DO_")
 
 
 def enrich_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Both enrichments: a trip needs a known zone at either end."""
-    return enrich_dropoff(enrich_pickup(trips, zones), zones)
+    lookup = sized(zones)
+    with_pickup = _join_zone(trips, lookup, PICKUP_ZONE, "PU_")
+    return _join_zone(with_pickup, lookup, DROPOFF_ZONE, "DO_")
 
 
 def unmatched_locations(trips: DataFrame, zones: DataFrame) -> DataFrame:

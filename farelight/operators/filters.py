@@ -19,7 +19,7 @@ def filter_audit(trips: DataFrame, mode: str = "strict") -> DataFrame:
     rules = row_rules(mode)
     totals = trips.agg(
         F.count("*").alias("n_rows"),
-        *[F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()],
+        *[F.expr(f"count_if(NOT coalesce({rule}, false))").alias(name) for name, rule in rules.items()],
     )
     return totals.unpivot(["n_rows"], list(rules), "rule", "n_rejected")
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farelight.schemas import RETAIL_SCHEMA
-from farelight.sources.readers import CORRUPT
 
 AMOUNT, DATE = "transactionAmount", "transactionDate"
 HIGH_VALUE = 100.0
@@ -40,7 +39,7 @@ def average_by_month(transactions: DataFrame) -> DataFrame:
 
 
 def split_clean(quarantined: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Clean transactions, and the text of the malformed rows, of a quarantining read."""
-    clean = quarantined.filter(F.col(CORRUPT).isNull()).select(*RETAIL_SCHEMA.names)
-    rejected = quarantined.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
-    return clean, rejected
+    """Clean transactions, and the lines of the malformed rows, of a quarantining read."""
+    bad = F.col("rejected_line")
+    clean = quarantined.filter(bad.isNull()).select(*RETAIL_SCHEMA.names)
+    return clean, quarantined.filter(bad.isNotNull()).select(bad.alias("line"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from farelight.functions.rules import percentage
@@ -78,13 +78,17 @@ def revenue_distribution(kpis: DataFrame, n: int = TOP) -> DataFrame:
     ``borough_revenue`` is the share of trips times the borough's own revenue, as the
     distribution chart shows it; ``revenue_share`` is the share of the week's revenue in percent.
     """
-    boroughs = _latest_by_borough(kpis, "total_revenue")
-    all_trips = boroughs.agg(F.sum("total_trips")).scalar()
-    all_revenue = boroughs.agg(F.sum("total_revenue")).scalar()
-    trip_share = F.try_divide(F.col("total_trips"), all_trips)
+    # One week has as many rows as there are boroughs, so the window stays small.
+    week = Window.partitionBy("week_start")
+    boroughs = _latest_by_borough(kpis, "total_revenue", "week_start")
+    trip_share = F.try_divide(F.col("total_trips"), F.sum("total_trips").over(week))
     return _best(
-        boroughs.withColumn("borough_revenue", trip_share * F.col("total_revenue")).withColumn(
-            "revenue_share", percentage(F.col("total_revenue"), all_revenue)
+        boroughs.select(
+            "borough",
+            "total_trips",
+            "total_revenue",
+            (trip_share * F.col("total_revenue")).alias("borough_revenue"),
+            percentage(F.col("total_revenue"), F.sum("total_revenue").over(week)).alias("revenue_share"),
         ),
         "borough_revenue",
         n,
