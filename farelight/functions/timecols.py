@@ -28,7 +28,7 @@ def year_week(ts: Column) -> Column:
 
 def minutes_between(start: Column, end: Column) -> Column:
     """Minutes from whole-second times."""
-    return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0)
+    return (F.unix_seconds(end) - F.unix_seconds(start)) / F.lit(60.0)
 
 
 def is_night(hour: Column) -> Column:

@@ -51,11 +51,14 @@ def exact_quantiles(
     """Exact quantiles with linear interpolation: ``by..., probability, quantile``.
 
     A sketch per group brackets each quantile between two values whose ranks are off by
-    a known share at most. One more scan counts what lies below the bracket and keeps the
-    distinct values inside it, a small part of the group; those are put in order by
-    :func:`running_total`, across tasks, and the wanted ranks are read off. The counts
-    are exact, so the result is too.
+    at most ``1 / accuracy`` of the group. One more scan counts what lies below the
+    bracket and keeps the distinct values inside it, a small part of a large group; those
+    are put in order by :func:`running_total`, across tasks, and the wanted ranks are read
+    off. The counts are exact, so the result is too, and a bracket that did not hold its
+    rank would fail the query.
     """
+    if not by:
+        raise ValueError("exact_quantiles needs at least one grouping column")
     rows = df.select(*by, F.col(value).cast("double").alias("_value")).dropna(subset=["_value"])
     slack = 2.0 / accuracy
     edges = [max(0.0, p - slack) for p in probabilities] + [min(1.0, p + slack) for p in probabilities]
@@ -65,11 +68,13 @@ def exact_quantiles(
         F.max("_value").alias("_max"),
         F.percentile_approx("_value", edges, accuracy).alias("_edges"),
     )
+    # In a group this small the error is less than a rank or two: take the whole range.
+    small = F.col("_n") <= 2 * accuracy
     brackets = []
     for i, p in enumerate(probabilities):
-        low = F.col("_min") if edges[i] == 0.0 else F.col("_edges")[i]
-        top = edges[i + len(probabilities)]
-        high = F.col("_max") if top == 1.0 else F.col("_edges")[i + len(probabilities)]
+        top = i + len(probabilities)
+        low = F.when(small | F.lit(edges[i] == 0.0), F.col("_min")).otherwise(F.col("_edges")[i])
+        high = F.when(small | F.lit(edges[top] == 1.0), F.col("_max")).otherwise(F.col("_edges")[top])
         # Ranks are counted from 0; the quantile lies between the two around (n - 1) * p.
         at = (F.col("_n") - 1) * F.lit(float(p))
         brackets.append(
@@ -105,18 +110,28 @@ def exact_quantiles(
         starts, [F.col(f"_r_{c}").eqNullSafe(F.col(c)) for c in group], "inner"
     )
     reached = F.col("_upto") - F.col("_start")
-    n_before = F.col("_rank")
+    rank = F.col("_rank")
+    # The null value stands for all that lies below the bracket.
+    too_high = F.max(F.col("_value").isNull() & (reached > rank))
+    too_low = F.max(reached) <= F.max(rank)
 
-    def value_at(rank: Column) -> Column:
-        return F.min(F.when(reached > rank, F.col("_value")))
+    def value_at(position: Column) -> Column:
+        return F.min(F.when(reached > position, F.col("_value")))
 
     low, high = F.col("_at"), F.coalesce("_next", "_at")
+    quantile = low + (high - low) * F.col("_part")
     return (
         ranked.groupBy(*group)
         .agg(
-            value_at(n_before).alias("_at"),
-            value_at(n_before + 1).alias("_next"),
+            value_at(rank).alias("_at"),
+            value_at(rank + 1).alias("_next"),
             F.max("_part").alias("_part"),
+            (too_high | too_low).alias("_missed"),
+        )
+        .select(
+            *group,
+            F.when(F.col("_missed"), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
+            .otherwise(quantile)
+            .alias("quantile"),
         )
-        .select(*group, (low + (high - low) * F.col("_part")).alias("quantile"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farelight.functions.rules import all_rules, per_mile, percentage, truncated
-from farelight.functions.timecols import as_time, is_night, minutes_between, week_start
+from farelight.functions.timecols import as_time, is_night, minutes_between, week_date
 from farelight.operators.enrich import enrich_zones
 from farelight.operators.filters import keep_valid, recency_cutoff, recent_weeks
 from farelight.schemas import DROPOFF, KPI_SCHEMA, PICKUP
@@ -14,11 +14,15 @@ WEEK, BOROUGH, HOUR = "week_start", "borough", "hour"
 
 
 def trip_ratios(trips: DataFrame) -> DataFrame:
-    """Enriched trips reduced to what the KPIs need, one row per trip."""
+    """Enriched trips reduced to what the KPIs need, one row per trip.
+
+    The week is a date here: it groups and shuffles in four bytes, and is written out as
+    text only on the few rows left after aggregation.
+    """
     pickup, dropoff = as_time(PICKUP), as_time(DROPOFF)
     distance = F.col("trip_distance")
     return trips.select(
-        week_start(pickup).alias(WEEK),
+        week_date(pickup).alias(WEEK),
         F.col("PU_Borough").alias(BOROUGH),
         F.hour(pickup).alias(HOUR),
         F.col("total_amount").alias("amount"),
@@ -27,7 +31,11 @@ def trip_ratios(trips: DataFrame) -> DataFrame:
     )
 
 
-def hourly_sums(trips: DataFrame) -> DataFrame:
+def _week_text(df: DataFrame) -> DataFrame:
+    return df.withColumn(WEEK, F.date_format(WEEK, "yyyy-MM-dd"))
+
+
+def _hourly_sums(trips: DataFrame) -> DataFrame:
     """Counts and sums per week, borough and hour.
 
     All of it adds up, so tasks combine rows before the shuffle and the roll-up to weeks
@@ -47,15 +55,21 @@ def hourly_sums(trips: DataFrame) -> DataFrame:
     )
 
 
+def _hourly_counts(trips: DataFrame) -> DataFrame:
+    return trip_ratios(trips).groupBy(WEEK, BOROUGH, HOUR).agg(F.count("*").alias("n_trips"))
+
+
 def trips_by_hour(trips: DataFrame) -> DataFrame:
-    return (
-        trip_ratios(trips).groupBy(WEEK, BOROUGH, HOUR).agg(F.count("*").alias("n_trips"))
-    )
+    """Trips per week, borough and hour of the day."""
+    return _week_text(_hourly_counts(trips))
 
 
 def trips_by_week(trips: DataFrame) -> DataFrame:
-    return trip_ratios(trips).groupBy(WEEK, BOROUGH).agg(
-        F.count("*").alias("total_trips"), F.sum("amount").alias("total_revenue")
+    """Trips and revenue per week and borough."""
+    return _week_text(
+        trip_ratios(trips)
+        .groupBy(WEEK, BOROUGH)
+        .agg(F.count("*").alias("total_trips"), F.sum("amount").alias("total_revenue"))
     )
 
 
@@ -66,13 +80,13 @@ def _busiest_hour() -> Column:
 
 def peak_hours(trips: DataFrame) -> DataFrame:
     """Busiest hour per week and borough, and its share of the trips."""
-    per_group = trips_by_hour(trips).groupBy(WEEK, BOROUGH).agg(
+    per_group = _hourly_counts(trips).groupBy(WEEK, BOROUGH).agg(
         F.sum("n_trips").alias("total_trips"),
         _busiest_hour().alias("peak_hour"),
         F.max("n_trips").alias("peak_trips"),
     )
     share = percentage(F.col("peak_trips"), F.col("total_trips"))
-    return per_group.withColumn("peak_hour_trip_percentage", share)
+    return _week_text(per_group.withColumn("peak_hour_trip_percentage", share))
 
 
 def night_share(trips: DataFrame) -> DataFrame:
@@ -81,7 +95,7 @@ def night_share(trips: DataFrame) -> DataFrame:
         F.count("*").alias("total_trips"), F.count_if(is_night(F.col(HOUR))).alias("night_trips")
     )
     share = percentage(F.col("night_trips"), F.col("total_trips"))
-    return per_group.withColumn("night_trip_percentage", share)
+    return _week_text(per_group.withColumn("night_trip_percentage", share))
 
 
 def weekly_metrics(trips: DataFrame, exact: bool = False) -> DataFrame:
@@ -91,7 +105,7 @@ def weekly_metrics(trips: DataFrame, exact: bool = False) -> DataFrame:
     ``avg_minutes_per_mile_exact``.
     """
     night = F.when(is_night(F.col(HOUR)), F.col("n_trips")).otherwise(0)
-    weekly = hourly_sums(trips).groupBy(WEEK, BOROUGH).agg(
+    weekly = _hourly_sums(trips).groupBy(WEEK, BOROUGH).agg(
         F.sum("n_trips").alias("total_trips"),
         F.sum("amount").alias("total_revenue"),
         _busiest_hour().alias("peak_hour"),
@@ -102,7 +116,7 @@ def weekly_metrics(trips: DataFrame, exact: bool = False) -> DataFrame:
     )
     total = F.col("total_trips")
     columns = {
-        WEEK: F.col(WEEK),
+        WEEK: F.date_format(WEEK, "yyyy-MM-dd"),
         BOROUGH: F.col(BOROUGH),
         "total_trips": total,
         "total_revenue": F.coalesce("total_revenue", F.lit(0.0)),
@@ -142,7 +156,7 @@ def stage_counts(trips: DataFrame, zones: DataFrame, weeks: int = 4, mode: str =
     enriched = enrich_zones(keep_valid(trips, mode), zones)
     pickup = as_time(PICKUP)
     cutoff = recency_cutoff(enriched, weeks).scalar()
-    per_group = enriched.groupBy(week_start(pickup).alias(WEEK), "PU_Borough").agg(
+    per_group = enriched.groupBy(week_date(pickup).alias(WEEK), "PU_Borough").agg(
         F.count("*").alias("enriched"), F.count_if(pickup >= cutoff).alias("recent")
     )
     late = per_group.agg(
