@@ -31,11 +31,12 @@ def averages_by_key(df: DataFrame, value: str, *keys: str) -> DataFrame:
 
 def median_and_maximum(df: DataFrame, value: str, *keys: str) -> DataFrame:
     """Exact median (midpoint for an even count) and maximum per key."""
-    medians = exact_quantiles(df, keys, value, [0.5]).select(*keys, F.col("quantile").alias("median"))
-    maxima = df.groupBy(*keys).agg(F.max(value).alias("maximum"))
-    renamed = maxima.withColumnsRenamed({k: f"_m_{k}" for k in keys})
-    same = [F.col(f"_m_{k}").eqNullSafe(F.col(k)) for k in keys]
-    return medians.join(renamed, same, "inner").select(*keys, "median", "maximum")
+    found = exact_quantiles(df, keys, value, [0.5, 1.0])
+
+    def at(probability: float) -> Column:
+        return F.max(F.when(F.col("probability") == probability, F.col("quantile")))
+
+    return found.groupBy(*keys).agg(at(0.5).alias("median"), at(1.0).alias("maximum"))
 
 
 # Fixed value: the shape of an e-mail address.
