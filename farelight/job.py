@@ -1,13 +1,12 @@
 """The KPI job: load, gate, filter, enrich, aggregate, save.
 
-    spark-submit farelight/job.py --trips IN --zones CSV --out DIR [--weeks 4]
+    spark-submit kpi_job.py --trips IN --zones CSV --out DIR [--weeks 4]
 """
 
 from __future__ import annotations
 
 import argparse
 import logging
-import sys
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,7 +87,3 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     finally:
         spark.stop()
-
-
-if __name__ == "__main__":
-    sys.exit(main())

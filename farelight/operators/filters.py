@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from farelight.functions.rules import all_rules, row_rules
 from farelight.functions.timecols import as_time, week_date
@@ -68,11 +68,12 @@ def time_bounds(trips: DataFrame, time_column: str = PICKUP) -> DataFrame:
 def missing_weeks(rows: DataFrame, time_column: str = PICKUP) -> DataFrame:
     """Calendar weeks without a row, between the first and the last week with one.
 
-    Works on the distinct weeks, of which there are at most 53 per calendar year.
+    One scan. What is left of it to put in order are the distinct weeks, at most 53 per
+    calendar year.
     """
     present = rows.select(week_date(as_time(time_column)).alias("week")).dropna().distinct()
-    span = present.agg(F.min("week").alias("first"), F.max("week").alias("last")).dropna()
-    every = span.select(F.explode(F.sequence("first", "last", F.expr("interval 7 days"))).alias("week"))
-    return every.join(present, "week", "left_anti").select(
-        F.date_format("week", "yyyy-MM-dd").alias("week_start")
-    )
+    following = F.lead("week").over(Window.orderBy("week"))
+    gaps = present.withColumn("next", following).filter(F.datediff("next", "week") > 7)
+    inside = F.sequence(F.date_add("week", 7), F.date_sub("next", 7), F.expr("interval 7 days"))
+    missing = gaps.select(F.explode(inside).alias("week"))
+    return missing.select(F.date_format("week", "yyyy-MM-dd").alias("week_start"))

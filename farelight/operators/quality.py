@@ -65,7 +65,7 @@ def duplicate_key_report(df: DataFrame, keys: tuple[str, ...] = (TRIP_ID,)) -> D
 
 def _period(mode: str) -> Column:
     pickup = as_time(PICKUP)
-    return week_date(pickup).cast("string") if mode == "strict" else year_week(pickup)
+    return week_date(pickup) if mode == "strict" else year_week(pickup)
 
 
 def trip_profile(df: DataFrame, mode: str = "strict") -> DataFrame:

@@ -18,6 +18,11 @@ DEFAULTS = {
 }
 
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 8
+
+
 def build_session(app_name: str = "farelight", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; the master is left to spark-submit unless given."""
     builder = SparkSession.builder.appName(app_name)
@@ -25,7 +30,13 @@ def build_session(app_name: str = "farelight", master: str | None = None, **conf
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.getConf().contains(PARTITIONS):
+        # Many small shuffle partitions to start from: a large shuffle then fits in memory
+        # task by task, and adaptive execution merges what turns out small.
+        start = max(200, PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism)
+        spark.conf.set(INITIAL_PARTITIONS, str(start))
+    return spark
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:

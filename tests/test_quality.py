@@ -113,5 +113,5 @@ def test_clean_binds_to_the_trip_layout(spark):
 
 def test_profile_counts_valid_rows(spark):
     df = trips(spark, {}, dict(fare_amount=-1.0), span("2025-10-13 10:00:00", "2025-10-13 10:10:00"))
-    profile = {r.period: (r.n_rows, r.n_valid) for r in quality.trip_profile(df).collect()}
+    profile = {str(r.period): (r.n_rows, r.n_valid) for r in quality.trip_profile(df).collect()}
     assert profile == {"2025-10-06": (2, 1), "2025-10-13": (1, 1)}

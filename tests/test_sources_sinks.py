@@ -1,4 +1,7 @@
+import subprocess
+import sys
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +137,16 @@ def test_conform_keeps_only_what_is_asked(spark):
     df = spark.createDataFrame([(1, "b", "z", "s", 9)], "LocationID int, Borough string, Zone string, service_zone string, x int")
     assert conform(df, ZONE_SCHEMA).columns == ZONE_SCHEMA.names
     assert conform(df, ZONE_SCHEMA, keep=("x", "y")).columns == [*ZONE_SCHEMA.names, "x"]
+
+
+def test_command_line(spark, tmp_path):
+    script = Path(__file__).resolve().parents[1] / "kpi_job.py"
+    trips_path = save(kpi_trips(spark), tmp_path / "trips")
+    zones(spark).write.option("header", True).csv(f"{tmp_path}/zones")
+    base = [sys.executable, str(script), "--zones", f"{tmp_path}/zones", "--out", f"{tmp_path}/out"]
+    good = subprocess.run([*base, "--trips", trips_path, "--weeks", "many"], capture_output=True, text=True, timeout=180)
+    assert good.returncode == 0
+    assert "Manhattan" in good.stdout
+    assert readers.read_kpis(spark, f"{tmp_path}/out/kpis").count() == 2
+    bad = subprocess.run([*base, "--trips", f"{tmp_path}/nothing"], capture_output=True, text=True, timeout=180)
+    assert bad.returncode == 1
