@@ -85,11 +85,17 @@ def average_for_ids(
 ) -> DataFrame:
     """Mean score, count and number at or above the threshold, over a set of ids.
 
-    Ids are made distinct first, so a repeated id is combined before it is shuffled.
+    Both sides are combined per id before they are shuffled, so an id with very many
+    scores or mentions is one row in the join, which then needs no shuffle of its own.
     """
+    per_id = scores.groupBy(key).agg(
+        F.sum(score).alias("_sum"),
+        F.count(score).alias("_n"),
+        F.count_if(F.col(score) >= F.lit(threshold)).alias("_passed"),
+    )
     wanted = ids.select(key).distinct()
-    return scores.join(wanted, key, "left_semi").agg(
-        F.avg(score).alias("average"),
-        F.count(score).alias("n_scores"),
-        F.count_if(F.col(score) >= F.lit(threshold)).alias("n_passed"),
+    return per_id.join(wanted, key, "left_semi").agg(
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("average"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_scores"),
+        F.coalesce(F.sum("_passed"), F.lit(0)).alias("n_passed"),
     )

@@ -165,6 +165,12 @@ def heatmap(kpis: DataFrame, n: int = 15) -> DataFrame:
     )
 
 
+def heatmap_grid(kpis: DataFrame, n: int = 15) -> DataFrame:
+    """The grid as drawn: a row per week, a column of trips for each of the ``n`` busiest boroughs."""
+    cells = _volumes(kpis).join(_busiest(kpis, n), "borough", "left_semi")
+    return cells.groupBy("week_start").pivot("borough").agg(F.sum("total_trips"))
+
+
 def weekly_trend(kpis: DataFrame) -> DataFrame:
     """Trips and revenue per week."""
     return (

@@ -39,8 +39,16 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone lookup CSV with header; the schema is given, so there is no inference pass."""
-    return spark.read.schema(ZONE_SCHEMA).option("header", True).csv(path)
+    """Zone lookup CSV, bound by the names in its header.
+
+    Only the header is read ahead; the types are known, so there is no inference pass.
+    """
+    csv = spark.read.option("header", True)
+    wanted = {f.name: f for f in ZONE_SCHEMA.fields}
+    header = csv.csv(path).columns
+    as_read = T.StructType([wanted.get(c, T.StructField(c, T.StringType())) for c in header])
+    check_fields(as_read, ZONE_SCHEMA)
+    return csv.schema(as_read).csv(path).select(*ZONE_SCHEMA.names)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -159,6 +159,9 @@ FROM trips"""
 
 LATEST = "latest AS (SELECT * FROM kpis WHERE week_start = (SELECT max(week_start) FROM kpis))"
 
+# The regions of the test tables.
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
 METRICS = (
     "total_trips",
     "total_revenue",
@@ -357,6 +360,12 @@ busy AS (SELECT borough FROM kpis GROUP BY borough ORDER BY sum(total_trips) DES
 SELECT week_start, borough, total_trips,
        round(total_trips / (sum(total_trips) OVER (PARTITION BY borough))::DOUBLE * 100, 4) AS share_of_borough
 FROM kpis WHERE borough IN (SELECT borough FROM busy)""",
+    "mart_heatmap_grid": with_(*TO_KPIS)
+    + "SELECT week_start, "
+    + ", ".join(
+        f"CAST(sum(total_trips) FILTER (WHERE borough = '{b}') AS BIGINT) AS \"{b}\"" for b in REGIONS
+    )
+    + " FROM kpis GROUP BY week_start",
     "mart_weekly_trend": with_(*TO_KPIS)
     + """
 SELECT week_start, CAST(sum(total_trips) AS BIGINT) AS total_trips, round(sum(total_revenue), 4) AS total_revenue

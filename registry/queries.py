@@ -345,6 +345,11 @@ def mart_heatmap(spark, sf_dir):
     return _rounded(marts.heatmap(adapters.saved_kpis(spark, sf_dir)))
 
 
+@query
+def mart_heatmap_grid(spark, sf_dir):
+    return marts.heatmap_grid(adapters.saved_kpis(spark, sf_dir))
+
+
 @query
 def mart_weekly_trend(spark, sf_dir):
     return _rounded(marts.weekly_trend(adapters.saved_kpis(spark, sf_dir)))

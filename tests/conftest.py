@@ -1,10 +1,15 @@
 import os
 import sys
+import time
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# Literal times in the tests are UTC, like the session.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 from farelight.session import build_session  # noqa: E402
 
 

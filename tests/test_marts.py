@@ -90,6 +90,9 @@ def test_weekly_tables(kpis, frame):
     assert top == {"Queens", "Bronx"}
     cells = marts.heatmap(kpis, 1).collect()
     assert sorted(round(r.share_of_borough, 2) for r in cells) == [42.86, 57.14]
+    grid = marts.heatmap_grid(kpis, 2)
+    assert grid.columns == ["week_start", "Bronx", "Queens"]
+    assert sorted(tuple(r) for r in grid.collect()) == [("2025-10-06", 60, 300), ("2025-10-13", 101, 400)]
     trend = [tuple(r) for r in marts.weekly_trend(kpis).collect()]
     assert trend == [("2025-10-06", 360, 9600.0), ("2025-10-13", 752, 12030.0)]
     first = marts.listing(kpis).first()

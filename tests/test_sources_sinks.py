@@ -54,6 +54,15 @@ def test_zone_scan_keeps_plain_words(spark, tmp_path):
     assert rows(found) == [(1, "EWR", "Newark Airport", "EWR"), (264, "Unknown", "N/A", "N/A")]
 
 
+def test_zone_scan_goes_by_name(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text("Zone,more,LocationID,service_zone,Borough\nNewark,x,1,s,EWR\n")
+    assert rows(readers.read_zones(spark, str(path))) == [(1, "EWR", "Newark", "s")]
+    path.write_text("Zone,LocationID,Borough\nNewark,1,EWR\n")
+    with pytest.raises(MissingColumnsError, match="service_zone"):
+        readers.read_zones(spark, str(path))
+
+
 def test_kpi_roundtrip(spark, tmp_path):
     kpis = calculate_kpis(kpi_trips(spark), zones(spark))
     for out in (f"{tmp_path}/out", f"{tmp_path}/out/"):
