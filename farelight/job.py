@@ -1,23 +1,26 @@
-"""The KPI job: load, gate, filter, enrich, aggregate, save.
+"""Jobs for spark-submit.
 
     spark-submit kpi_job.py --trips IN --zones CSV --out DIR [--weeks 4]
+    spark-submit word_count_job.py --input TEXT --output DIR
 """
 
 from __future__ import annotations
 
 import argparse
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from farelight.operators.filters import parse_weeks
 from farelight.operators.quality import clean
+from farelight.operators.text import word_counts
 from farelight.plans.kpis import calculate_kpis
 from farelight.plans.marts import weekly_volume
 from farelight.session import build_session
-from farelight.sources.readers import read_kpis, read_trips, read_zones
-from farelight.sources.writers import child, write_kpis, write_parquet
+from farelight.sources.readers import read_kpis, read_lines, read_trips, read_zones
+from farelight.sources.writers import child, write_kpis, write_parquet, write_word_counts
 
 log = logging.getLogger("farelight")
 
@@ -65,25 +68,44 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> int:
+def _submit(name: str, run: Callable[[SparkSession], None]) -> int:
+    """Run on a fresh session; a failure is logged and gives exit code 1."""
     logging.basicConfig(level=logging.INFO)
-    given = arguments(argv)
-    spark = build_session("farelight-kpis")
+    spark = build_session(name)
     try:
-        job = KpiJob(
-            given.trips,
-            given.zones,
-            given.out,
-            parse_weeks(given.weeks),
-            given.mode,
-            given.align_to_week,
-            given.by_week,
-            given.weekly_metrics,
-        )
-        job.run(spark).show(truncate=False)
+        run(spark)
         return 0
     except Exception:
         log.exception("job failed")
         return 1
     finally:
         spark.stop()
+
+
+def main(argv: list[str] | None = None) -> int:
+    given = arguments(argv)
+    job = KpiJob(
+        given.trips,
+        given.zones,
+        given.out,
+        parse_weeks(given.weeks),
+        given.mode,
+        given.align_to_week,
+        given.by_week,
+        given.weekly_metrics,
+    )
+    return _submit("farelight-kpis", lambda spark: job.run(spark).show(truncate=False))
+
+
+def count_words(spark: SparkSession, source: str, out: str, mode: str = "strict") -> None:
+    """Word frequencies of text files, saved as ``(word,count)`` lines."""
+    write_word_counts(word_counts(read_lines(spark, source), mode=mode), out)
+
+
+def word_count_main(argv: list[str] | None = None) -> int:
+    parser = argparse.ArgumentParser(description="Word frequencies of text files")
+    parser.add_argument("--input", required=True, help="text file or folder")
+    parser.add_argument("--output", required=True, help="output folder")
+    parser.add_argument("--mode", choices=("strict", "reference"), default="strict")
+    given = parser.parse_args(argv)
+    return _submit("farelight-words", lambda spark: count_words(spark, given.input, given.output, given.mode))

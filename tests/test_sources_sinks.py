@@ -6,8 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from farelight.job import KpiJob, arguments
-from farelight.operators.text import word_counts
+from farelight.job import KpiJob, arguments, count_words
 from farelight.plans.kpis import calculate_kpis
 from farelight.schemas import KPI_SCHEMA, TRIP_SCHEMA, ZONE_SCHEMA, MissingColumnsError, conform
 from farelight.sources import readers, writers
@@ -92,8 +91,7 @@ def test_csv_export_has_a_header(spark, tmp_path):
 
 def test_word_count_lines(spark, tmp_path):
     (tmp_path / "in.txt").write_text("The cat\nthe dog!\n\n")
-    counts = word_counts(readers.read_lines(spark, f"{tmp_path}/in.txt"), mode="reference")
-    writers.write_word_counts(counts, f"{tmp_path}/out")
+    count_words(spark, f"{tmp_path}/in.txt", f"{tmp_path}/out", "reference")
     lines = sorted(r.value for r in readers.read_lines(spark, f"{tmp_path}/out").collect())
     assert lines == ["(,1)", "(cat,1)", "(dog,1)", "(the,2)"]
 
