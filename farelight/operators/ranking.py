@@ -50,49 +50,68 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: ``by..., probability, quantile``.
 
-    A sketch per group brackets each quantile between two values whose ranks are off by
-    at most ``1 / accuracy`` of the group. One more scan counts what lies below the
-    bracket and keeps the distinct values inside it, a small part of a large group; those
-    are put in order by :func:`running_total`, across tasks, and the wanted ranks are read
-    off. The counts are exact, so the result is too, and a bracket that did not hold its
-    rank would fail the query.
+    A sketch per group gives its size, and brackets each quantile between two values whose
+    ranks are off by at most ``1 / accuracy`` of the group. Groups of at most
+    ``2 * accuracy`` values are then computed directly. For larger ones, one more scan
+    counts what lies below the bracket and keeps the distinct values inside it, a small
+    part of the group; those are put in order by :func:`running_total`, across tasks, and
+    the wanted ranks are read off. The counts are exact, so the result is too, and a
+    bracket that did not hold its rank would fail the query.
     """
     if not by:
         raise ValueError("exact_quantiles needs at least one grouping column")
+    probabilities = list(dict.fromkeys(float(p) for p in probabilities))
     rows = df.select(*by, F.col(value).cast("double").alias("_value")).dropna(subset=["_value"])
+    # Written, so that the joins below know the true size of this side.
+    sketch = written(_sketch(rows, by, probabilities, accuracy), "sketch")
+    large = F.col("_n") > 2 * accuracy
+    direct = _direct_quantiles(_match(rows, sketch.filter(~large), by), by, probabilities)
+    if sketch.filter(large).isEmpty():
+        return direct
+    return direct.unionByName(_bracketed_quantiles(_match(rows, sketch.filter(large), by), by))
+
+
+def _sketch(rows: DataFrame, by: Sequence[str], probabilities: list[float], accuracy: int) -> DataFrame:
     slack = 2.0 / accuracy
-    edges = [max(0.0, p - slack) for p in probabilities] + [min(1.0, p + slack) for p in probabilities]
-    sketch = rows.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.min("_value").alias("_min"),
-        F.max("_value").alias("_max"),
-        F.percentile_approx("_value", edges, accuracy).alias("_edges"),
-    )
-    # In a group this small the error is less than a rank or two: take the whole range.
-    small = F.col("_n") <= 2 * accuracy
+    lows = [max(0.0, p - slack) for p in probabilities]
+    highs = [min(1.0, p + slack) for p in probabilities]
+    edges = F.percentile_approx("_value", lows + highs, accuracy).alias("_edges")
+    sketch = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_value").alias("_min"), F.max("_value").alias("_max"), edges)
     brackets = []
     for i, p in enumerate(probabilities):
-        top = i + len(probabilities)
-        low = F.when(small | F.lit(edges[i] == 0.0), F.col("_min")).otherwise(F.col("_edges")[i])
-        high = F.when(small | F.lit(edges[top] == 1.0), F.col("_max")).otherwise(F.col("_edges")[top])
         # Ranks are counted from 0; the quantile lies between the two around (n - 1) * p.
-        at = (F.col("_n") - 1) * F.lit(float(p))
+        at = (F.col("_n") - 1) * F.lit(p)
+        low = F.col("_min") if lows[i] == 0.0 else F.col("_edges")[i]
+        high = F.col("_max") if highs[i] == 1.0 else F.col("_edges")[i + len(probabilities)]
         brackets.append(
             F.struct(
-                F.lit(float(p)).alias("probability"),
+                F.lit(p).alias("probability"),
                 low.alias("_low"),
                 high.alias("_high"),
                 F.floor(at).cast("long").alias("_rank"),
                 (at - F.floor(at)).alias("_part"),
             )
         )
-    # Written, so the join below knows the true size of this side.
-    bounds = written(sketch.select(*by, F.array(*brackets).alias("_brackets")), "brackets")
+    return sketch.select(*by, "_n", F.array(*brackets).alias("_brackets"))
 
-    key = [F.col(c) for c in by]
-    matched = rows.withColumnsRenamed({c: f"_r_{c}" for c in by}).join(
-        bounds, [F.col(f"_r_{c}").eqNullSafe(F.col(c)) for c in by], "inner"
-    )
+
+def _match(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join by columns in which nulls are equal, keeping one copy of them."""
+    renamed = left.withColumnsRenamed({c: f"_left_{c}" for c in by})
+    same = [F.col(f"_left_{c}").eqNullSafe(F.col(c)) for c in by]
+    return renamed.join(right, same, "inner").drop(*[f"_left_{c}" for c in by])
+
+
+def _direct_quantiles(matched: DataFrame, by: Sequence[str], probabilities: list[float]) -> DataFrame:
+    """For groups known to be small: their values fit in one aggregation buffer."""
+    levels = F.array(*[F.lit(p) for p in probabilities])
+    found = matched.groupBy(*by).agg(F.percentile("_value", levels).alias("_found"))
+    pairs = F.arrays_zip(levels.alias("probability"), F.col("_found").alias("quantile"))
+    return found.select(*by, F.inline(pairs).alias("probability", "quantile"))
+
+
+def _bracketed_quantiles(matched: DataFrame, by: Sequence[str]) -> DataFrame:
+    """For groups of any size."""
     counted = (
         matched.select(*by, "_value", F.explode("_brackets").alias("_b"))
         .select(*by, "_b.*", "_value")
@@ -102,13 +121,12 @@ def exact_quantiles(
         .groupBy(*by, "probability", "_rank", "_part", "_value")
         .agg(F.count("*").alias("_count"))
     )
-    order = [*[c.asc_nulls_first() for c in key], F.col("probability").asc(), F.col("_value").asc_nulls_first()]
-    summed = running_total(counted, order, F.col("_count"), "_upto")
     group = [*by, "probability"]
+    order = [*[F.col(c).asc_nulls_first() for c in group], F.col("_value").asc_nulls_first()]
+    summed = running_total(counted, order, F.col("_count"), "_upto")
     starts = summed.groupBy(*group).agg(F.min(F.col("_upto") - F.col("_count")).alias("_start"))
-    ranked = summed.withColumnsRenamed({c: f"_r_{c}" for c in group}).join(
-        starts, [F.col(f"_r_{c}").eqNullSafe(F.col(c)) for c in group], "inner"
-    )
+    ranked = _match(summed, starts, group)
+
     reached = F.col("_upto") - F.col("_start")
     rank = F.col("_rank")
     # The null value stands for all that lies below the bracket.
@@ -120,6 +138,7 @@ def exact_quantiles(
 
     low, high = F.col("_at"), F.coalesce("_next", "_at")
     quantile = low + (high - low) * F.col("_part")
+    missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
     return (
         ranked.groupBy(*group)
         .agg(
@@ -128,10 +147,5 @@ def exact_quantiles(
             F.max("_part").alias("_part"),
             (too_high | too_low).alias("_missed"),
         )
-        .select(
-            *group,
-            F.when(F.col("_missed"), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-            .otherwise(quantile)
-            .alias("quantile"),
-        )
+        .select(*group, F.when(F.col("_missed"), missed).otherwise(quantile).alias("quantile"))
     )
