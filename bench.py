@@ -68,8 +68,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = list(QUERIES) if os.environ.get("BENCH_ALL") == "1" else HEADLINE
-    # The first run compiles; the better of the next two counts.
-    times = {n: min([seconds(spark, n, sf_dir) for _ in range(3)][1:]) for n in names}
+    # A first round over all queries warms up; the better of the next two counts.
+    rounds = [{n: seconds(spark, n, sf_dir) for n in names} for _ in range(3)]
+    times = {n: min(r[n] for r in rounds[1:]) for n in names}
     spark.stop()
     print(
         json.dumps(

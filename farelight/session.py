@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,19 +46,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=None)
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="farelight-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
     A machine-local folder is used only when nothing is configured and the master
     is local, as in tests; on a cluster an unset folder is an error.
     """
+    app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="farelight-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    app = spark.sparkContext.applicationId
+        base = _local_folder(app)
     return f"{base.rstrip('/')}/farelight/{app}/{name}-{uuid.uuid4().hex}"
 
 
