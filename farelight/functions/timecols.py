@@ -20,6 +20,24 @@ def week_date(ts: Column) -> Column:
     return F.date_trunc("week", ts).cast("date")
 
 
+# Hours, days and weeks begin at a multiple of this in every zone whose offset is whole
+# quarter-hours.
+SLOT_SECONDS = 900
+
+
+def time_slot(ts: Column) -> Column:
+    """Number of the quarter-hour since the epoch.
+
+    Plain arithmetic, where hour and week need calendar work on every row: group by the
+    slot first and take hour and week of :func:`slot_start` from the few groups.
+    """
+    return F.floor(F.unix_seconds(ts) / SLOT_SECONDS)
+
+
+def slot_start(slot: Column) -> Column:
+    return F.timestamp_seconds(slot * SLOT_SECONDS)
+
+
 def year_week(ts: Column) -> Column:
     """``YYYY-WW`` from calendar year and ISO week; empty for a missing time."""
     week = F.lpad(F.weekofyear(ts).cast("string"), 2, "0")

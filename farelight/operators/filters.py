@@ -71,7 +71,8 @@ def missing_weeks(rows: DataFrame, time_column: str = PICKUP) -> DataFrame:
     One scan. What is left of it to put in order are the distinct weeks, at most 53 per
     calendar year.
     """
-    present = rows.select(week_date(as_time(time_column)).alias("week")).dropna().distinct()
+    days = rows.select(as_time(time_column).cast("date").alias("day")).dropna().distinct()
+    present = days.select(week_date(F.col("day")).alias("week")).distinct()
     following = F.lead("week").over(Window.orderBy("week"))
     gaps = present.withColumn("next", following).filter(F.datediff("next", "week") > 7)
     inside = F.sequence(F.date_add("week", 7), F.date_sub("next", 7), F.expr("interval 7 days"))

@@ -9,8 +9,14 @@ from farelight.functions.timecols import as_time, week_date, year_week
 from farelight.operators.filters import keep_valid
 from farelight.schemas import PICKUP, TRIP_SCHEMA, MissingColumnsError, conform
 
+# The share of nulls allowed, the optional id column, and what a failing gate
+# says.
 NULL_RATE_LIMIT = 0.20
 TRIP_ID = "trip_id"
+HIGH_NULLS = "High null rates detected: {rates}"
+REPEATED_IDS = "Duplicate trip_id values found"
+NO_TIMES = "No valid pickup timestamps found"
+LOST_WEEKS = "Incomplete time series: found {found:.0f} weeks, expected {expected:.0f}"
 
 _PROFILE_KEY = "period"
 
@@ -63,25 +69,46 @@ def duplicate_key_report(df: DataFrame, keys: tuple[str, ...] = (TRIP_ID,)) -> D
     )
 
 
-def _period(mode: str) -> Column:
+_DAY = "day"
+
+
+def _period(day: Column, mode: str) -> Column:
+    return week_date(day) if mode == "strict" else year_week(day)
+
+
+def _by_period(df: DataFrame, mode: str, **measures: tuple[str, Column]) -> DataFrame:
+    """Measures, each given as roll-up function and row-level aggregate, per week or week key.
+
+    Rows are combined per day, and weeks are told from the days.
+    """
+    check_mode(mode)
+    per_day = df.groupBy(as_time(PICKUP).cast("date").alias(_DAY)).agg(
+        *[measure.alias(name) for name, (_, measure) in measures.items()]
+    )
+    return per_day.groupBy(_period(F.col(_DAY), mode).alias(_PROFILE_KEY)).agg(
+        *[F.expr(f"{roll_up}({name})").alias(name) for name, (roll_up, _) in measures.items()]
+    )
+
+
+def _bounds() -> dict[str, tuple[str, Column]]:
     pickup = as_time(PICKUP)
-    return week_date(pickup) if mode == "strict" else year_week(pickup)
+    return {"min_ts": ("min", F.min(pickup)), "max_ts": ("max", F.max(pickup))}
 
 
 def trip_profile(df: DataFrame, mode: str = "strict") -> DataFrame:
-    """Rows, valid rows, nulls and time bounds per week: one scan feeds all gates but V3.
+    """Rows, valid rows, nulls and time bounds per week: one scan feeds all gates but duplicate ids.
 
     There are at most 53 weeks per calendar year, so the result is small whatever the
     number of trips.
     """
-    check_mode(mode)
-    pickup = as_time(PICKUP)
-    return df.groupBy(_period(mode).alias(_PROFILE_KEY)).agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(all_rules(mode)).alias("n_valid"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED_COLUMNS],
-        F.min(pickup).alias("min_ts"),
-        F.max(pickup).alias("max_ts"),
+    nulls = {f"null_{c}": ("sum", F.count_if(F.col(c).isNull())) for c in REQUIRED_COLUMNS}
+    return _by_period(
+        df,
+        mode,
+        n_rows=("sum", F.count("*")),
+        n_valid=("sum", F.count_if(all_rules(mode))),
+        **nulls,
+        **_bounds(),
     )
 
 
@@ -92,12 +119,7 @@ def week_continuity_report(df: DataFrame, mode: str = "strict") -> DataFrame:
     ``reference`` expects one more than the whole 7-day spans between the first and last
     date and counts year-week keys, among them the empty key of missing times.
     """
-    check_mode(mode)
-    pickup = as_time(PICKUP)
-    periods = df.groupBy(_period(mode).alias(_PROFILE_KEY)).agg(
-        F.min(pickup).alias("min_ts"), F.max(pickup).alias("max_ts")
-    )
-    return periods.agg(*_continuity(mode)).withColumn(
+    return _by_period(df, mode, **_bounds()).agg(*_continuity(mode)).withColumn(
         "passed", F.coalesce(F.col("actual_weeks") >= F.col("expected_weeks"), F.lit(False))
     )
 
@@ -176,16 +198,14 @@ def enforce(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT)
         by_gate.setdefault(row.gate, []).append(row)
     if "null_rate" in by_gate:
         rates = ", ".join(f"{r.subject}:{r.measure * 100:.1f}%" for r in by_gate["null_rate"])
-        raise QualityGateError(f"High null rates detected: {rates}")
+        raise QualityGateError(HIGH_NULLS.format(rates=rates))
     if "duplicate_id" in by_gate:
-        raise QualityGateError("Duplicate trip_id values found")
+        raise QualityGateError(REPEATED_IDS)
     if "week_continuity" in by_gate:
         weeks = by_gate["week_continuity"][0]
         if weeks.bound is None:
-            raise QualityGateError("No valid pickup timestamps found")
-        raise QualityGateError(
-            f"Incomplete time series: found {weeks.measure:.0f} weeks, expected {weeks.bound:.0f}"
-        )
+            raise QualityGateError(NO_TIMES)
+        raise QualityGateError(LOST_WEEKS.format(found=weeks.measure, expected=weeks.bound))
 
 
 def clean(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT) -> DataFrame:

@@ -5,94 +5,103 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farelight.functions.rules import all_rules, per_mile, percentage, truncated
-from farelight.functions.timecols import as_time, is_night, minutes_between, week_date
+from farelight.functions.timecols import (
+    as_time,
+    is_night,
+    minutes_between,
+    slot_start,
+    time_slot,
+    week_date,
+)
 from farelight.operators.enrich import enrich_zones
 from farelight.operators.filters import keep_valid, recency_cutoff, recent_weeks
 from farelight.schemas import DROPOFF, KPI_SCHEMA, PICKUP
 
 WEEK, BOROUGH, HOUR = "week_start", "borough", "hour"
+_SLOT = "slot"
 
 
 def trip_ratios(trips: DataFrame) -> DataFrame:
-    """Enriched trips reduced to what the KPIs need, one row per trip.
-
-    The week is a date here: it groups and shuffles in four bytes, and is written out as
-    text only on the few rows left after aggregation.
-    """
+    """Enriched trips reduced to what the KPIs need, one row per trip."""
     pickup, dropoff = as_time(PICKUP), as_time(DROPOFF)
     distance = F.col("trip_distance")
     return trips.select(
-        week_date(pickup).alias(WEEK),
+        time_slot(pickup).alias(_SLOT),
         F.col("PU_Borough").alias(BOROUGH),
-        F.hour(pickup).alias(HOUR),
         F.col("total_amount").alias("amount"),
         per_mile(minutes_between(pickup, dropoff), distance).alias("minutes_per_mile"),
         per_mile(F.col("total_amount"), distance).alias("revenue_per_mile"),
     )
 
 
-def _week_text(df: DataFrame) -> DataFrame:
-    return df.withColumn(WEEK, F.date_format(WEEK, "yyyy-MM-dd"))
-
-
-def _hourly_sums(trips: DataFrame) -> DataFrame:
-    """Counts and sums per week, borough and hour.
+def _per_slot(trips: DataFrame, *sums: Column) -> DataFrame:
+    """Trip counts and sums per quarter-hour and borough, with the week (a date) and hour.
 
-    All of it adds up, so tasks combine rows before the shuffle and the roll-up to weeks
-    sees at most 24 rows per week and borough, however many trips a borough has.
+    All of it adds up, so tasks combine rows before the shuffle, and what is rolled up to
+    weeks is 672 rows per week and borough at most, however many trips a borough has.
     """
+    start = slot_start(F.col(_SLOT))
     return (
         trip_ratios(trips)
-        .groupBy(WEEK, BOROUGH, HOUR)
-        .agg(
-            F.count("*").alias("n_trips"),
-            F.sum("amount").alias("amount"),
-            F.sum("minutes_per_mile").alias("minutes_sum"),
-            F.count("minutes_per_mile").alias("minutes_n"),
-            F.sum("revenue_per_mile").alias("revenue_sum"),
-            F.count("revenue_per_mile").alias("revenue_n"),
-        )
+        .groupBy(_SLOT, BOROUGH)
+        .agg(F.count("*").alias("n_trips"), *sums)
+        .withColumns({WEEK: week_date(start), HOUR: F.hour(start)})
     )
 
 
-def _hourly_counts(trips: DataFrame) -> DataFrame:
-    return trip_ratios(trips).groupBy(WEEK, BOROUGH, HOUR).agg(F.count("*").alias("n_trips"))
+def _trips_when(condition: Column) -> Column:
+    return F.sum(F.when(condition, F.col("n_trips")).otherwise(0))
+
+
+def _trips_per_hour() -> Column:
+    return F.array(*[_trips_when(F.col(HOUR) == hour) for hour in range(24)])
+
+
+# Over the array of trips per hour. The first position of the largest count is the smallest
+# such hour on a tie.
+_PEAK_TRIPS = "array_max(hours)"
+_PEAK_HOUR = "CAST(array_position(hours, array_max(hours)) - 1 AS int)"
+
+
+def _week_text(df: DataFrame) -> DataFrame:
+    return df.withColumn(WEEK, F.date_format(WEEK, "yyyy-MM-dd"))
 
 
 def trips_by_hour(trips: DataFrame) -> DataFrame:
     """Trips per week, borough and hour of the day."""
-    return _week_text(_hourly_counts(trips))
+    per_hour = _per_slot(trips).groupBy(WEEK, BOROUGH, HOUR).agg(F.sum("n_trips").alias("n_trips"))
+    return _week_text(per_hour)
 
 
 def trips_by_week(trips: DataFrame) -> DataFrame:
     """Trips and revenue per week and borough."""
     return _week_text(
-        trip_ratios(trips)
+        _per_slot(trips, F.sum("amount").alias("amount"))
         .groupBy(WEEK, BOROUGH)
-        .agg(F.count("*").alias("total_trips"), F.sum("amount").alias("total_revenue"))
+        .agg(F.sum("n_trips").alias("total_trips"), F.sum("amount").alias("total_revenue"))
     )
 
 
-def _busiest_hour() -> Column:
-    """Hour with most trips; the smallest such hour on a tie."""
-    return F.max_by(HOUR, F.struct(F.col("n_trips"), -F.col(HOUR)))
-
-
 def peak_hours(trips: DataFrame) -> DataFrame:
     """Busiest hour per week and borough, and its share of the trips."""
-    per_group = _hourly_counts(trips).groupBy(WEEK, BOROUGH).agg(
-        F.sum("n_trips").alias("total_trips"),
-        _busiest_hour().alias("peak_hour"),
-        F.max("n_trips").alias("peak_trips"),
+    per_group = _per_slot(trips).groupBy(WEEK, BOROUGH).agg(
+        F.sum("n_trips").alias("total_trips"), _trips_per_hour().alias("hours")
+    )
+    peaks = per_group.select(
+        WEEK,
+        BOROUGH,
+        "total_trips",
+        F.expr(_PEAK_HOUR).alias("peak_hour"),
+        F.expr(_PEAK_TRIPS).alias("peak_trips"),
     )
     share = percentage(F.col("peak_trips"), F.col("total_trips"))
-    return _week_text(per_group.withColumn("peak_hour_trip_percentage", share))
+    return _week_text(peaks.withColumn("peak_hour_trip_percentage", share))
 
 
 def night_share(trips: DataFrame) -> DataFrame:
     """Night trips per week and borough, and their share."""
-    per_group = trip_ratios(trips).groupBy(WEEK, BOROUGH).agg(
-        F.count("*").alias("total_trips"), F.count_if(is_night(F.col(HOUR))).alias("night_trips")
+    per_group = _per_slot(trips).groupBy(WEEK, BOROUGH).agg(
+        F.sum("n_trips").alias("total_trips"), _trips_when(is_night(F.col(HOUR))).alias("night_trips")
     )
     share = percentage(F.col("night_trips"), F.col("total_trips"))
     return _week_text(per_group.withColumn("night_trip_percentage", share))
@@ -104,15 +113,21 @@ def weekly_metrics(trips: DataFrame, exact: bool = False) -> DataFrame:
     ``avg_minutes_per_mile`` is cut to whole minutes; ``exact`` adds the uncut mean as
     ``avg_minutes_per_mile_exact``.
     """
-    night = F.when(is_night(F.col(HOUR)), F.col("n_trips")).otherwise(0)
-    weekly = _hourly_sums(trips).groupBy(WEEK, BOROUGH).agg(
+    per_slot = _per_slot(
+        trips,
+        F.sum("amount").alias("amount"),
+        F.sum("minutes_per_mile").alias("minutes_sum"),
+        F.count("minutes_per_mile").alias("minutes_n"),
+        F.sum("revenue_per_mile").alias("revenue_sum"),
+        F.count("revenue_per_mile").alias("revenue_n"),
+    )
+    weekly = per_slot.groupBy(WEEK, BOROUGH).agg(
         F.sum("n_trips").alias("total_trips"),
         F.sum("amount").alias("total_revenue"),
-        _busiest_hour().alias("peak_hour"),
-        F.max("n_trips").alias("peak_trips"),
+        _trips_per_hour().alias("hours"),
         F.try_divide(F.sum("minutes_sum"), F.sum("minutes_n")).alias("minutes_mean"),
         F.try_divide(F.sum("revenue_sum"), F.sum("revenue_n")).alias("revenue_mean"),
-        F.sum(night).alias("night_trips"),
+        _trips_when(is_night(F.col(HOUR))).alias("night_trips"),
     )
     total = F.col("total_trips")
     columns = {
@@ -120,8 +135,8 @@ def weekly_metrics(trips: DataFrame, exact: bool = False) -> DataFrame:
         BOROUGH: F.col(BOROUGH),
         "total_trips": total,
         "total_revenue": F.coalesce("total_revenue", F.lit(0.0)),
-        "peak_hour": F.coalesce("peak_hour", F.lit(0)),
-        "peak_hour_trip_percentage": percentage(F.col("peak_trips"), total),
+        "peak_hour": F.expr(_PEAK_HOUR),
+        "peak_hour_trip_percentage": percentage(F.expr(_PEAK_TRIPS), total),
         "avg_minutes_per_mile": F.coalesce(truncated(F.col("minutes_mean")), F.lit(0)),
         "avg_revenue_per_mile": F.coalesce("revenue_mean", F.lit(0.0)),
         "night_trip_percentage": percentage(F.col("night_trips"), total),
@@ -156,9 +171,12 @@ def stage_counts(trips: DataFrame, zones: DataFrame, weeks: int = 4, mode: str =
     enriched = enrich_zones(keep_valid(trips, mode), zones)
     pickup = as_time(PICKUP)
     cutoff = recency_cutoff(enriched, weeks).scalar()
-    per_group = enriched.groupBy(week_date(pickup).alias(WEEK), "PU_Borough").agg(
+    per_slot = enriched.groupBy(time_slot(pickup).alias(_SLOT), "PU_Borough").agg(
         F.count("*").alias("enriched"), F.count_if(pickup >= cutoff).alias("recent")
     )
+    per_group = per_slot.groupBy(week_date(slot_start(F.col(_SLOT))), "PU_Borough").agg(
+        F.sum("enriched").alias("enriched"), F.sum("recent").alias("recent")
+    )
     late = per_group.agg(
         F.coalesce(F.sum("enriched"), F.lit(0)).alias("enriched"),
         F.coalesce(F.sum("recent"), F.lit(0)).alias("recent"),

@@ -86,6 +86,25 @@ def test_repeated_lookup_ids_fan_out(spark):
     assert enrich_zones(trips(spark, {}), twice).count() == 2
 
 
+def test_hours_and_weeks_follow_a_zone_with_a_half_hour_offset(spark):
+    df = trips(
+        spark,
+        span("2025-10-12 18:29:59", "2025-10-12 18:40:00"),  # Sunday 23:59:59 there
+        span("2025-10-12 18:30:00", "2025-10-12 18:40:00"),  # Monday 00:00
+    )
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        found = rows(kpis.trips_by_hour(enrich_zones(df, zones(spark))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == [("2025-10-06", "Manhattan", 23, 1), ("2025-10-13", "Manhattan", 0, 1)]
+
+
+def test_trips_before_the_epoch(spark):
+    df = trips(spark, span("1969-12-31 23:59:59", "1970-01-01 00:10:00"))
+    assert rows(kpis.trips_by_hour(enrich_zones(df, zones(spark)))) == [("1969-12-29", "Manhattan", 23, 1)]
+
+
 def test_empty_in_empty_out(spark):
     assert kpis.calculate_kpis(kpi_trips(spark).limit(0), zones(spark)).count() == 0
     nowhere = zones(spark, (500, "X", "x", "s"))

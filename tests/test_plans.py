@@ -67,8 +67,9 @@ def test_kpis_read_trips_twice_and_broadcast_the_lookup(spark, trip_file):
     assert "BroadcastHashJoin" in text and "BuildLeft" not in text
     whole = plan(kpis)
     assert not re.search("Python|MapElements|CartesianProduct|BroadcastNestedLoopJoin", whole)
-    hour = re.search(r"hashpartitioning\(week_start#\d+, borough#\d+, hour#\d+", whole)
-    assert hour, "rows are combined per hour before they are shuffled"
+    slot = re.search(r"hashpartitioning\(slot#\d+L, borough#\d+", whole)
+    assert slot, "rows are combined per quarter-hour before they are shuffled"
+    assert not re.search("SortAggregate|ObjectHashAggregate", whole)
 
 
 def test_gates_read_trips_once(spark, trip_file):

@@ -4,6 +4,7 @@ from farelight.operators import retail
 from farelight.schemas import RETAIL_SCHEMA
 from farelight.sources import readers
 
+# Retail rows with known averages.
 CLEAN = [
     ("CS6043", "15-Jan-14", 98.0),
     ("CS4147", "08-Jul-13", 121.0),
