@@ -49,12 +49,13 @@ def _per_slot(trips: DataFrame, *sums: Column) -> DataFrame:
     )
 
 
-def _trips_when(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("n_trips")).otherwise(0))
+def _night_trips() -> Column:
+    return F.sum(F.when(is_night(F.col(HOUR)), F.col("n_trips")).otherwise(0))
 
 
 def _trips_per_hour() -> Column:
-    return F.array(*[_trips_when(F.col(HOUR) == hour) for hour in range(24)])
+    sums = [f"sum(if({HOUR} = {hour}, n_trips, 0))" for hour in range(24)]
+    return F.expr(f"array({', '.join(sums)})")
 
 
 # Over the array of trips per hour. The first position of the largest count is the smallest
@@ -101,7 +102,7 @@ def peak_hours(trips: DataFrame) -> DataFrame:
 def night_share(trips: DataFrame) -> DataFrame:
     """Night trips per week and borough, and their share."""
     per_group = _per_slot(trips).groupBy(WEEK, BOROUGH).agg(
-        F.sum("n_trips").alias("total_trips"), _trips_when(is_night(F.col(HOUR))).alias("night_trips")
+        F.sum("n_trips").alias("total_trips"), _night_trips().alias("night_trips")
     )
     share = percentage(F.col("night_trips"), F.col("total_trips"))
     return _week_text(per_group.withColumn("night_trip_percentage", share))
@@ -127,7 +128,7 @@ def weekly_metrics(trips: DataFrame, exact: bool = False) -> DataFrame:
         _trips_per_hour().alias("hours"),
         F.try_divide(F.sum("minutes_sum"), F.sum("minutes_n")).alias("minutes_mean"),
         F.try_divide(F.sum("revenue_sum"), F.sum("revenue_n")).alias("revenue_mean"),
-        _trips_when(is_night(F.col(HOUR))).alias("night_trips"),
+        _night_trips().alias("night_trips"),
     )
     total = F.col("total_trips")
     columns = {
