@@ -28,7 +28,7 @@ PERCENT = 150
 MOST = 2
 #: Words of a block; less for a source that would have fewer than ``BLOCKS`` blocks.
 BLOCK = 128
-BLOCKS = 64
+BLOCKS = 256
 #: Slots of a shard at least, and shards at most; beyond, shards grow.
 SHARD = 1024
 SHARDS = 5000
@@ -259,9 +259,11 @@ def mix_documents(
     Other columns stay as they are; ``length``, if there is such a column, is counted anew.
     ``docs`` has to give its rows in the same order each time, as a table does.
     """
-    parts = taken_parts(docs, text, source, doc_id).withColumnsRenamed({"row": "_row", "parts": "_parts", "copy": "_copy"})
-    marked = docs.withColumn("_row", F.monotonically_increasing_id()).join(parts, "_row")
-    at, what = marked.columns.index(text), marked.columns.index("_parts")
+    parts = taken_parts(docs, text, source, doc_id)
+    # By number, so that no name of the table can clash with those of the parts.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    marked = numbered.withColumn("row", F.monotonically_increasing_id()).join(parts, "row")
+    at, what = marked.columns.index(f"c{docs.columns.index(text)}"), marked.columns.index("parts")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [_cut(t, p) for t, p in zip(batch.column(at).to_pylist(), batch.column(what).to_pylist(), strict=True)]
@@ -269,5 +271,5 @@ def mix_documents(
         columns[at] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    cut = map_rows(marked, marked.schema, work).select(*docs.columns)
+    cut = map_rows(marked, marked.schema, work).select(*numbered.columns).toDF(*docs.columns)
     return cut.withColumn(length, F.length(text).cast("long")) if length in docs.columns else cut

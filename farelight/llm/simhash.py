@@ -201,9 +201,8 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     """
     found = near_duplicates(docs, text, doc_id).filter("doc_id = component_id")
     keep = written(found.groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    named = docs.filter(F.col(doc_id).isNotNull()).join(
-        keep.select(F.col("doc_id").alias("_keep")), F.col(doc_id) == F.col("_keep"), "left_semi"
-    )
+    stay = keep.select("doc_id")
+    named = docs.join(stay, docs[doc_id].cast("long") == stay["doc_id"], "left_semi")
     if not keep.filter("n > 1").isEmpty():
         named = named.dropDuplicates([doc_id])
     if docs.filter(F.col(doc_id).isNull()).isEmpty():
