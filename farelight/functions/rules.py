@@ -75,7 +75,15 @@ def per_mile(amount: Column, distance: Column) -> Column:
     return F.try_divide(amount, distance)
 
 
+# The long range, and the first double beyond it.
+LONGEST, BEYOND = 2**63 - 1, 2.0**63
+
+
 def truncated(value: Column) -> Column:
-    """Toward zero; values beyond the long range are held at its edge."""
-    edge = F.lit(9.2e18)
-    return F.when(value > edge, edge).otherwise(value).cast("long")
+    """Toward zero as a long; NaN gives 0, and what is beyond the long range its edge."""
+    return (
+        F.when(F.isnan(value), F.lit(0).cast("long"))
+        .when(value >= F.lit(BEYOND), F.lit(LONGEST))
+        .when(value < F.lit(-BEYOND), F.lit(-LONGEST - 1))
+        .otherwise(value.cast("long"))
+    )

@@ -10,11 +10,6 @@ def as_time(name: str) -> Column:
     return F.col(name).try_cast("timestamp")
 
 
-def week_start(ts: Column) -> Column:
-    """Monday of the week as ``yyyy-MM-dd``."""
-    return F.date_format(F.date_trunc("week", ts), "yyyy-MM-dd")
-
-
 def week_date(ts: Column) -> Column:
     """Monday of the week as a date."""
     return F.date_trunc("week", ts).cast("date")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from farelight.operators.filters import parse_weeks
-from farelight.operators.quality import clean
+from farelight.operators.quality import enforce, valid_trips
 from farelight.operators.text import word_counts
 from farelight.plans.kpis import calculate_kpis
 from farelight.plans.marts import weekly_volume
@@ -46,7 +46,11 @@ class KpiJob:
     def run(self, spark: SparkSession) -> DataFrame:
         """Write the KPI table once and return it as saved."""
         zones = read_zones(spark, self.zones_path)
-        trips = clean(read_trips(spark, self.trips_path), self.mode)
+        log.info("zones, rows=%d", zones.count())
+        raw = read_trips(spark, self.trips_path)
+        n_raw, n_clean = enforce(raw, self.mode)
+        log.info("trips, raw rows=%d, clean rows=%d", n_raw, n_clean)
+        trips = valid_trips(raw, self.mode)
         path = write_kpis(calculate_kpis(trips, zones, self.weeks, self.align_to_week), self.out, self.by_week)
         saved = read_kpis(spark, path)
         if self.weekly_metrics:

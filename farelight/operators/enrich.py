@@ -1,6 +1,6 @@
 """Zone enrichment.
 
-A lookup is broadcast only after its rows have been counted up to a bound. A larger one
+A lookup is broadcast only after its rows and bytes have been measured. A larger one
 is joined by shuffle, where adaptive execution splits a location that holds a large part
 of the trips (``spark.sql.adaptive.skewJoin.enabled``).
 """
@@ -13,14 +13,18 @@ from farelight.schemas import ZONE_SCHEMA
 
 PICKUP_ZONE, DROPOFF_ZONE = "PULocationID", "DOLocationID"
 
-# A zone row takes some hundred bytes, so this keeps a broadcast near ten megabytes.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 10 << 20
 
 
-def sized(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup for broadcast if it has at most ``max_rows`` rows; else leave it be."""
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(lookup) if small else lookup
+def sized(lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a lookup for broadcast if it is at most so large; else leave it be.
+
+    Bytes are those of the rows as text.
+    """
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    rows, size = lookup.limit(max_rows + 1).agg(F.count("*"), size).first()
+    return F.broadcast(lookup) if rows <= max_rows and size <= max_bytes else lookup
 
 
 def _join_zone(trips: DataFrame, zones: DataFrame, location: str, prefix: str) -> DataFrame:

@@ -143,9 +143,12 @@ def quality_report(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE
     return _report_from_profile(df, trip_profile(df, mode), mode, limit)
 
 
-def _report_from_profile(df: DataFrame, profile: DataFrame, mode: str, limit: float) -> DataFrame:
+def _report_from_profile(
+    df: DataFrame, profile: DataFrame, mode: str, limit: float, with_rows: bool = False
+) -> DataFrame:
     totals = profile.agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("n_valid"), F.lit(0)).alias("n_valid"),
         *[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(c) for c in REQUIRED_COLUMNS],
         *_continuity(mode),
     )
@@ -170,7 +173,9 @@ def _report_from_profile(df: DataFrame, profile: DataFrame, mode: str, limit: fl
         F.col("expected_weeks"),
         F.col("actual_weeks") >= F.col("expected_weeks"),
     )
-    report = totals.select(F.inline(F.array(*nulls, weeks)))
+    # No gate, but it comes with them for nothing: all rows, and those that the rules keep.
+    rows = [line("rows", F.lit("raw, valid"), F.col("n_rows"), F.col("n_valid"), F.lit(False))] if with_rows else []
+    report = totals.select(F.inline(F.array(*nulls, weeks, *rows)))
     if TRIP_ID in df.columns:
         ids = duplicate_key_report(df, (TRIP_ID,)).select(
             F.lit("duplicate_id").alias("gate"),
@@ -183,16 +188,18 @@ def _report_from_profile(df: DataFrame, profile: DataFrame, mode: str, limit: fl
     return report
 
 
-def enforce(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT) -> None:
+def enforce(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT) -> tuple[int, int]:
     """Raise on the first failing gate: columns, null rates, duplicate ids, continuity.
 
-    Brings at most eight report rows to the driver.
+    Gives the number of rows and of those that the row rules keep, from the same scan.
+    Brings at most nine report rows to the driver.
     """
     check_mode(mode)
     absent = missing_columns(df)
     if absent:
         raise MissingColumnsError(absent)
-    failed = quality_report(df, mode, limit).filter(~F.col("passed")).collect()
+    report = _report_from_profile(df, trip_profile(df, mode), mode, limit, with_rows=True)
+    failed = report.filter(~F.col("passed")).collect()
     by_gate: dict[str, list] = {}
     for row in failed:
         by_gate.setdefault(row.gate, []).append(row)
@@ -206,9 +213,16 @@ def enforce(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT)
         if weeks.bound is None:
             raise QualityGateError(NO_TIMES)
         raise QualityGateError(LOST_WEEKS.format(found=weeks.measure, expected=weeks.bound))
+    rows = by_gate["rows"][0]
+    return int(rows.measure), int(rows.bound)
 
 
 def clean(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT) -> DataFrame:
     """Gates, then row rules, then binding to the trip layout."""
     enforce(df, mode, limit)
+    return valid_trips(df, mode)
+
+
+def valid_trips(df: DataFrame, mode: str = "strict") -> DataFrame:
+    """Row rules and binding alone, for trips that have passed the gates."""
     return conform(keep_valid(df, mode), TRIP_SCHEMA, keep=(TRIP_ID,))

@@ -57,32 +57,38 @@ def exact_quantiles(
     part of the group; those are put in order by :func:`running_total`, across tasks, and
     the wanted ranks are read off. The counts are exact, so the result is too, and a
     bracket that did not hold its rank would fail the query.
+
+    Nulls are left out, NaN is the largest value, and a group without values has null
+    quantiles.
     """
     if not by:
         raise ValueError("exact_quantiles needs at least one grouping column")
     probabilities = list(dict.fromkeys(float(p) for p in probabilities))
-    rows = df.select(*by, F.col(value).cast("double").alias("_value")).dropna(subset=["_value"])
+    rows = df.select(*by, F.col(value).cast("double").alias("_value"))
     # Written, so that the joins below know the true size of this side.
     sketch = written(_sketch(rows, by, probabilities, accuracy), "sketch")
     large = F.col("_n") > 2 * accuracy
-    direct = _direct_quantiles(_match(rows, sketch.filter(~large), by), by, probabilities)
+    direct = _direct_quantiles(match(rows, sketch.filter(~large), by), by, probabilities)
     if sketch.filter(large).isEmpty():
         return direct
-    return direct.unionByName(_bracketed_quantiles(_match(rows, sketch.filter(large), by), by))
+    return direct.unionByName(_bracketed_quantiles(match(rows, sketch.filter(large), by), by))
 
 
 def _sketch(rows: DataFrame, by: Sequence[str], probabilities: list[float], accuracy: int) -> DataFrame:
     slack = 2.0 / accuracy
     lows = [max(0.0, p - slack) for p in probabilities]
     highs = [min(1.0, p + slack) for p in probabilities]
-    edges = F.percentile_approx("_value", lows + highs, accuracy).alias("_edges")
-    sketch = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_value").alias("_min"), F.max("_value").alias("_max"), edges)
+    # The sketch cannot hold NaN in order, so it counts as infinite there.
+    nan, infinite = F.lit(float("nan")), F.lit(float("inf"))
+    edges = F.percentile_approx(F.when(F.isnan("_value"), infinite).otherwise(F.col("_value")), lows + highs, accuracy).alias("_edges")
+    sketch = rows.groupBy(*by).agg(F.count("_value").alias("_n"), F.min("_value").alias("_min"), F.max("_value").alias("_max"), edges)
     brackets = []
     for i, p in enumerate(probabilities):
         # Ranks are counted from 0; the quantile lies between the two around (n - 1) * p.
         at = (F.col("_n") - 1) * F.lit(p)
         low = F.col("_min") if lows[i] == 0.0 else F.col("_edges")[i]
-        high = F.col("_max") if highs[i] == 1.0 else F.col("_edges")[i + len(probabilities)]
+        edge = F.col("_edges")[i + len(probabilities)]
+        high = F.col("_max") if highs[i] == 1.0 else F.when(edge == infinite, nan).otherwise(edge)
         brackets.append(
             F.struct(
                 F.lit(p).alias("probability"),
@@ -95,7 +101,7 @@ def _sketch(rows: DataFrame, by: Sequence[str], probabilities: list[float], accu
     return sketch.select(*by, "_n", F.array(*brackets).alias("_brackets"))
 
 
-def _match(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+def match(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Inner join by columns in which nulls are equal, keeping one copy of them."""
     renamed = left.withColumnsRenamed({c: f"_left_{c}" for c in by})
     same = [F.col(f"_left_{c}").eqNullSafe(F.col(c)) for c in by]
@@ -106,7 +112,8 @@ def _direct_quantiles(matched: DataFrame, by: Sequence[str], probabilities: list
     """For groups known to be small: their values fit in one aggregation buffer."""
     levels = F.array(*[F.lit(p) for p in probabilities])
     found = matched.groupBy(*by).agg(F.percentile("_value", levels).alias("_found"))
-    pairs = F.arrays_zip(levels.alias("probability"), F.col("_found").alias("quantile"))
+    none = F.array(*[F.lit(None).cast("double") for _ in probabilities])
+    pairs = F.arrays_zip(levels.alias("probability"), F.coalesce("_found", none).alias("quantile"))
     return found.select(*by, F.inline(pairs).alias("probability", "quantile"))
 
 
@@ -125,7 +132,7 @@ def _bracketed_quantiles(matched: DataFrame, by: Sequence[str]) -> DataFrame:
     order = [*[F.col(c).asc_nulls_first() for c in group], F.col("_value").asc_nulls_first()]
     summed = running_total(counted, order, F.col("_count"), "_upto")
     starts = summed.groupBy(*group).agg(F.min(F.col("_upto") - F.col("_count")).alias("_start"))
-    ranked = _match(summed, starts, group)
+    ranked = match(summed, starts, group)
 
     reached = F.col("_upto") - F.col("_start")
     rank = F.col("_rank")
@@ -136,8 +143,9 @@ def _bracketed_quantiles(matched: DataFrame, by: Sequence[str]) -> DataFrame:
     def value_at(position: Column) -> Column:
         return F.min(F.when(reached > position, F.col("_value")))
 
-    low, high = F.col("_at"), F.coalesce("_next", "_at")
-    quantile = low + (high - low) * F.col("_part")
+    low, high, part = F.col("_at"), F.coalesce("_next", "_at"), F.col("_part")
+    # Infinite values have no difference, so both ends are weighted, and only if they differ.
+    quantile = F.when((part == 0) | (low == high), low).otherwise((1 - part) * low + part * high)
     missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
     return (
         ranked.groupBy(*group)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from farelight.operators.ranking import exact_quantiles, with_rank
+from farelight.operators.ranking import exact_quantiles, match, with_rank
 
 
 def greet(names: DataFrame, name: str = "name", ending: str = "") -> DataFrame:
@@ -30,13 +30,14 @@ def averages_by_key(df: DataFrame, value: str, *keys: str) -> DataFrame:
 
 
 def median_and_maximum(df: DataFrame, value: str, *keys: str) -> DataFrame:
-    """Exact median (midpoint for an even count) and maximum per key."""
-    found = exact_quantiles(df, keys, value, [0.5, 1.0])
+    """Exact median (midpoint for an even count) and maximum per key.
 
-    def at(probability: float) -> Column:
-        return F.max(F.when(F.col("probability") == probability, F.col("quantile")))
-
-    return found.groupBy(*keys).agg(at(0.5).alias("median"), at(1.0).alias("maximum"))
+    The maximum is a plain aggregate and keeps the type of ``value``. NaN is the largest
+    value; a key without values has nulls.
+    """
+    medians = exact_quantiles(df, keys, value, [0.5]).drop("probability").withColumnRenamed("quantile", "median")
+    maxima = df.groupBy(*keys).agg(F.max(value).alias("maximum"))
+    return match(medians, maxima, keys).select(*keys, "median", "maximum")
 
 
 # Fixed value: the shape of an e-mail address.

@@ -35,11 +35,6 @@ def word_counts(text: DataFrame, column: str = "value", mode: str = "strict") ->
     return words(text, column, mode).groupBy("word").agg(F.count("*").alias("count"))
 
 
-def split_lines(text: DataFrame, column: str) -> DataFrame:
-    """One row per line of a text column that may hold many lines, in column ``value``."""
-    return text.select(F.explode(F.split(F.col(column), _LINE_END)).alias("value"))
-
-
 def char_counts(text: DataFrame, column: str = "value") -> DataFrame:
     """Frequency of every character, case kept."""
     letters = text.select(F.explode(F.split(F.col(column), "")).alias("char"))

@@ -12,7 +12,8 @@ TOP = 10
 
 
 def _best(df: DataFrame, measure: str, n: int = TOP, smallest: bool = False) -> DataFrame:
-    order = F.col(measure).asc() if smallest else F.col(measure).desc()
+    """The best rows by a measure; rows without it come last either way."""
+    order = F.col(measure).asc_nulls_last() if smallest else F.col(measure).desc_nulls_last()
     return df.orderBy(order, F.col("borough").asc()).limit(n)
 
 

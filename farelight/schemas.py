@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
@@ -82,12 +84,36 @@ def _widens(found: T.DataType, wanted: T.DataType) -> bool:
     return False
 
 
-def check_fields(found: T.StructType, wanted: T.StructType) -> None:
-    """Raise when a wanted column is absent or would lose information in the cast."""
-    types = {f.name: f.dataType for f in found.fields}
-    missing = [f.name for f in wanted.fields if f.name not in types]
+class AmbiguousColumnsError(ValueError):
+    """Several columns of a frame have a wanted name, up to case."""
+
+
+def case_sensitive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+
+
+def match_names(found: Sequence[str], wanted: Sequence[str], exact_case: bool) -> dict[str, str]:
+    """Wanted name to the found one, by Spark's rule for case; raises if there are several."""
+    known: dict[str, list[str]] = {}
+    for name in found:
+        known.setdefault(name if exact_case else name.lower(), []).append(name)
+    matched = {name: known.get(name if exact_case else name.lower(), []) for name in wanted}
+    several = [f"{name}: {', '.join(names)}" for name, names in matched.items() if len(names) > 1]
+    if several:
+        raise AmbiguousColumnsError(f"Ambiguous columns: {'; '.join(several)}")
+    return {name: names[0] for name, names in matched.items() if names}
+
+
+def check_fields(found: T.StructType, wanted: T.StructType, exact_case: bool = False) -> dict[str, str]:
+    """Wanted name to found name.
+
+    Raises when a wanted column is absent or would lose information in the cast.
+    """
+    names = match_names(found.names, wanted.names, exact_case)
+    missing = [c for c in wanted.names if c not in names]
     if missing:
         raise MissingColumnsError(missing)
+    types = {f.name: found[names[f.name]].dataType for f in wanted.fields}
     narrowed = [
         f"{f.name}: {types[f.name].simpleString()} to {f.dataType.simpleString()}"
         for f in wanted.fields
@@ -95,12 +121,34 @@ def check_fields(found: T.StructType, wanted: T.StructType) -> None:
     ]
     if narrowed:
         raise TypeError(f"Cannot widen columns: {', '.join(narrowed)}")
+    return names
+
+
+def as_scanned(found: T.DataType, wanted: T.DataType) -> T.DataType:
+    """The type to read a parquet column with: the wanted one where the scan can widen to it.
+
+    The files of a folder may then differ in width. Anything else is cast above the scan.
+    """
+    if isinstance(wanted, T.LongType) and isinstance(found, _INTEGRAL):
+        return wanted
+    if isinstance(wanted, T.IntegerType) and isinstance(found, _INTEGRAL[:3]):
+        return wanted
+    if isinstance(wanted, T.DoubleType) and isinstance(found, (*_INTEGRAL[:3], T.FloatType)):
+        return wanted
+    if isinstance(wanted, T.TimestampType) and isinstance(found, T.TimestampNTZType):
+        return wanted
+    return found
 
 
 def conform(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Bind ``df`` to ``schema`` by name; ``keep`` lists further columns to carry along."""
-    check_fields(df.schema, schema)
+    """Bind ``df`` to ``schema`` by name; ``keep`` lists further columns to carry along.
+
+    Names are compared by Spark's rule for case; the output has the spelling of ``schema``.
+    """
+    exact_case = case_sensitive(df.sparkSession)
+    names = check_fields(df.schema, schema, exact_case)
+    others = match_names(df.columns, [c for c in keep if c not in schema.names], exact_case)
     return df.select(
-        *[F.col(f.name).cast(f.dataType) for f in schema.fields],
-        *[c for c in keep if c in df.columns and c not in schema.names],
+        *[F.col(names[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields],
+        *[F.col(found).alias(name) for name, found in others.items()],
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from farelight.schemas import (
@@ -13,42 +13,55 @@ from farelight.schemas import (
     RETAIL_SCHEMA,
     TRIP_SCHEMA,
     ZONE_SCHEMA,
+    MissingColumnsError,
+    as_scanned,
+    case_sensitive,
     check_fields,
     conform,
+    match_names,
 )
 
 CORRUPT = "_corrupt_record"
 
 
-def _adjusted(field: T.StructField) -> T.StructField:
-    if isinstance(field.dataType, T.TimestampNTZType):
-        return T.StructField(field.name, T.TimestampType(), field.nullable)
-    return field
+def _checked(good: Column, message: Column) -> Column:
+    """A filter that keeps what is good and fails the query otherwise; no query can prune it."""
+    return F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """Trip parquet bound to the trip layout; ``trip_id`` is carried along when present.
 
-    Zone-less timestamps are read as timestamps by the scan itself instead of being
-    cast above it, so time filters still reach the parquet row groups.
+    The scan itself reads the wanted types, so that the files of a folder may differ in
+    width and in the kind of their timestamps, and filters still reach the row groups.
     """
     found = spark.read.parquet(path).schema
-    check_fields(found, TRIP_SCHEMA)
-    as_read = T.StructType([_adjusted(f) for f in found.fields])
+    names = check_fields(found, TRIP_SCHEMA, case_sensitive(spark))
+    wanted = {names[f.name]: f.dataType for f in TRIP_SCHEMA.fields}
+    as_read = T.StructType(
+        [T.StructField(f.name, as_scanned(f.dataType, wanted.get(f.name, f.dataType)), f.nullable) for f in found.fields]
+    )
     return conform(spark.read.schema(as_read).parquet(path), TRIP_SCHEMA, keep=("trip_id",))
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup CSV, bound by the names in its header.
 
-    Only the header is read ahead; the types are known, so there is no inference pass.
+    Only the header is read ahead; all columns are text, and an id that is no whole number
+    fails the query, whatever it selects. A missing id is null.
     """
     csv = spark.read.option("header", True)
-    wanted = {f.name: f for f in ZONE_SCHEMA.fields}
     header = csv.csv(path).columns
-    as_read = T.StructType([wanted.get(c, T.StructField(c, T.StringType())) for c in header])
-    check_fields(as_read, ZONE_SCHEMA)
-    return csv.schema(as_read).csv(path).select(*ZONE_SCHEMA.names)
+    names = match_names(header, ZONE_SCHEMA.names, case_sensitive(spark))
+    missing = [c for c in ZONE_SCHEMA.names if c not in names]
+    if missing:
+        raise MissingColumnsError(missing)
+    rows = csv.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(path)
+    bound = rows.select(*[F.col(names[c]).alias(c) for c in ZONE_SCHEMA.names])
+    number = F.col("LocationID").try_cast("long")
+    good = F.col("LocationID").isNull() | number.isNotNull()
+    message = F.concat(F.lit("Malformed zone id: "), F.col("LocationID"))
+    return bound.filter(_checked(good, message)).withColumn("LocationID", number)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -56,41 +69,41 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_retail(spark: SparkSession, path: str) -> DataFrame:
-    """Retail CSV with header; a malformed row fails the query that reads it."""
-    return (
-        spark.read.schema(RETAIL_SCHEMA)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("columnPruning", False)
-        .csv(path)
-    )
-
-
-def read_retail_quarantined(spark: SparkSession, path: str) -> DataFrame:
-    """Retail CSV with header; ``rejected_line`` holds the text of a malformed row, and its
-    other columns are null.
+def _retail_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Each line as it stands in the file, its three columns, and whether they are sound.
 
-    The amount is read as text and cast here. Left to the CSV reader, a bad amount would
-    go unnoticed in a query that does not select it.
+    A line is read as one column, by a separator and without quotes, and parsed above that.
     """
     names = RETAIL_SCHEMA.names
-    as_text = T.StructType([T.StructField(c, T.StringType(), True) for c in (*names, CORRUPT)])
-    rows = (
-        spark.read.schema(as_text)
+    lines = (
+        spark.read.schema(T.StructType([T.StructField("line", T.StringType())]))
         .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("sep", "\u0001")
+        .option("quote", "")
         .csv(path)
     )
+    layout = ", ".join(f"{c} string" for c in (*names, CORRUPT))
+    record = F.from_csv("line", layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.select("line", record.alias("r")).select("line", "r.*")
     amount = F.col("transactionAmount").try_cast("double")
     good = F.col(CORRUPT).isNull() & amount.isNotNull()
-    joined = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in names])
+    return rows.select("line", "customerId", "transactionDate", amount.alias("transactionAmount"), good.alias("good"))
+
+
+def read_retail(spark: SparkSession, path: str) -> DataFrame:
+    """Retail CSV with header; a malformed row fails the query, whatever it selects."""
+    message = F.concat(F.lit("Malformed line: "), F.col("line"))
+    return _retail_rows(spark, path).filter(_checked(F.col("good"), message)).select(*RETAIL_SCHEMA.names)
+
+
+def read_retail_quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """Retail CSV with header; ``rejected_line`` holds a malformed row as it stands in the
+    file, and its other columns are null.
+    """
+    rows = _retail_rows(spark, path)
     return rows.select(
-        F.when(good, F.col("customerId")).alias("customerId"),
-        F.when(good, F.col("transactionDate")).alias("transactionDate"),
-        F.when(good, amount).alias("transactionAmount"),
-        F.when(~good, F.coalesce(CORRUPT, joined)).alias("rejected_line"),
+        *[F.when(F.col("good"), F.col(c)).alias(c) for c in RETAIL_SCHEMA.names],
+        F.when(~F.col("good"), F.col("line")).alias("rejected_line"),
     )
 
 

@@ -2,7 +2,8 @@
 
 Trips are made from every row of ``events``; zones from all of ``nation`` and
 ``region``; retail transactions from all of ``orders``. The columns are derived from
-values of the same row, chosen so that each row rule rejects something.
+values of the same row, chosen so that each row rule rejects something, but for the rule that
+times are present: ``events`` has all of them, and ``sparse_trips`` takes some away.
 """
 
 from __future__ import annotations
@@ -72,6 +73,17 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(*TRIP_COLUMNS.strip().splitlines())
 
 
+def sparse_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips whose passengers, and now and then pickup time, are unknown if the payment is."""
+    paid = F.col("payment_type").isNotNull()
+    return trips(spark, sf_dir).withColumns(
+        {
+            "passenger_count": F.when(paid, F.col("passenger_count")),
+            "tpep_pickup_datetime": F.when(paid | (F.col("total_amount") < 40), F.col("tpep_pickup_datetime")),
+        }
+    )
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(

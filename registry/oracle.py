@@ -137,6 +137,10 @@ def union(selects: list[str]) -> str:
     return "\nUNION ALL ".join(selects)
 
 
+SPARSE = """
+sparse AS (SELECT * REPLACE (
+  CASE WHEN payment_type IS NOT NULL THEN passenger_count END AS passenger_count,
+  CASE WHEN payment_type IS NOT NULL OR total_amount < 40 THEN pickup_ts END AS pickup_ts) FROM trips)"""
 NULL_RATES = union(
     [
         f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, "
@@ -335,19 +339,19 @@ FROM latest ORDER BY borough_revenue DESC, borough LIMIT 10""",
     "mart_top_rev_per_mile": with_(*TO_KPIS, LATEST)
     + f"""
 SELECT borough, total_trips, {rounded("avg_revenue_per_mile")} FROM latest
-WHERE total_trips > 10 ORDER BY latest.avg_revenue_per_mile DESC, borough LIMIT 10""",
+WHERE total_trips > (SELECT floor(avg(total_trips)) FROM latest) ORDER BY latest.avg_revenue_per_mile DESC, borough LIMIT 10""",
     "mart_most_efficient": with_(*TO_KPIS, LATEST)
     + """
 SELECT borough, total_trips, avg_minutes_per_mile FROM latest
-WHERE total_trips > 10 ORDER BY avg_minutes_per_mile, borough LIMIT 10""",
+WHERE total_trips > (SELECT floor(avg(total_trips)) FROM latest) ORDER BY avg_minutes_per_mile, borough LIMIT 10""",
     "mart_efficiency_scatter": with_(*TO_KPIS, LATEST)
     + f"""
 SELECT borough, total_trips, avg_minutes_per_mile, {rounded("avg_revenue_per_mile")} FROM latest
-WHERE total_trips > 10""",
+WHERE total_trips > (SELECT floor(avg(total_trips)) FROM latest)""",
     "mart_time_vs_revenue": with_(*TO_KPIS, LATEST)
     + f"""
 SELECT borough, total_trips, avg_minutes_per_mile, {rounded("avg_revenue_per_mile")} FROM latest
-WHERE total_trips > 10 ORDER BY total_trips DESC, borough LIMIT 10""",
+WHERE total_trips > (SELECT floor(avg(total_trips)) FROM latest) ORDER BY total_trips DESC, borough LIMIT 10""",
     "mart_weekly_volume": with_(*TO_KPIS)
     + "SELECT week_start, borough, total_trips FROM kpis ORDER BY week_start, total_trips DESC, borough",
     "mart_weekly_top": with_(*TO_KPIS)
@@ -413,7 +417,7 @@ FROM documents GROUP BY source""",
     # retail
     "retail_high_value": with_(RETAIL)
     + "SELECT customerId, transactionDate, transactionAmount FROM retail WHERE transactionAmount > 400000",
-    "retail_high_value_total": "SELECT round(sum(o_totalprice), 2) AS total FROM orders WHERE o_totalprice > 100",
+    "retail_high_value_total": "SELECT round(sum(o_totalprice), 2) AS total FROM orders WHERE o_totalprice > 200000",
     "retail_avg": "SELECT round(avg(o_totalprice), 4) AS avg_amount FROM orders",
     "retail_avg_by_month": """
 SELECT strftime(o_orderdate, '%b') AS month, strftime(o_orderdate, '%y') AS year,
@@ -453,4 +457,14 @@ SELECT CAST(sum(l_linenumber) AS BIGINT) AS line_numbers, round(sum(l_extendedpr
 SELECT round(avg(c_acctbal), 4) AS average, count(c_acctbal) AS n_scores,
        count(*) FILTER (WHERE c_acctbal >= 5000) AS n_passed
 FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "median_with_missing": """
+SELECT o_orderpriority, round(quantile_cont(price, 0.5), 4) AS median, round(max(price), 4) AS maximum
+FROM (SELECT o_orderpriority,
+             CASE WHEN o_orderpriority <> '5-LOW' AND o_orderstatus <> 'P' THEN o_totalprice END AS price FROM orders)
+GROUP BY o_orderpriority""",
+    "gate_null_rates_high": with_(TRIPS, SPARSE) + NULL_RATES.replace("FROM trips", "FROM sparse"),
+    "filter_times_present": with_(TRIPS, SPARSE)
+    + f"SELECT trip_id FROM sparse WHERE {' AND '.join(f'({r})' for r in RULES.values())}",
+    "weekly_kpis_reference": with_(*TO_KPIS) + f"SELECT {KPI_COLUMNS} FROM kpis",
+    "weekly_volume_csv": with_(*TO_KPIS) + "SELECT week_start, borough, total_trips FROM kpis",
 }

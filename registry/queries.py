@@ -35,6 +35,12 @@ def _text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
+def _above_mean(mart: Callable[..., DataFrame], saved: DataFrame) -> DataFrame:
+    """A mart whose volume floor is the mean of the latest week, so that it cuts at any size."""
+    mean = marts.latest_week(saved).filter("borough is not null").agg(F.avg("total_trips")).first()[0]
+    return mart(saved, floor=int(mean or 0))
+
+
 def _rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles rounded, because the order of a sum is not fixed."""
     return df.select(
@@ -213,8 +219,8 @@ def trip_time_bounds(spark, sf_dir):
 
 @query
 def year_week_key(spark, sf_dir):
-    key = year_week(as_time(PICKUP))
-    return adapters.trips(spark, sf_dir).select(key.alias("year_week")).distinct()
+    days = adapters.trips(spark, sf_dir).select(as_time(PICKUP).cast("date").alias("day")).distinct()
+    return days.select(year_week(F.col("day")).alias("year_week")).distinct()
 
 
 # --- enrichment --------------------------------------------------------------
@@ -312,22 +318,22 @@ def mart_revenue_share(spark, sf_dir):
 
 @query
 def mart_top_rev_per_mile(spark, sf_dir):
-    return _rounded(marts.top_revenue_per_mile(adapters.saved_kpis(spark, sf_dir), floor=10))
+    return _rounded(_above_mean(marts.top_revenue_per_mile, adapters.saved_kpis(spark, sf_dir)))
 
 
 @query
 def mart_most_efficient(spark, sf_dir):
-    return _rounded(marts.most_efficient(adapters.saved_kpis(spark, sf_dir), floor=10))
+    return _rounded(_above_mean(marts.most_efficient, adapters.saved_kpis(spark, sf_dir)))
 
 
 @query
 def mart_efficiency_scatter(spark, sf_dir):
-    return _rounded(marts.efficiency_scatter(adapters.saved_kpis(spark, sf_dir), floor=10))
+    return _rounded(_above_mean(marts.efficiency_scatter, adapters.saved_kpis(spark, sf_dir)))
 
 
 @query
 def mart_time_vs_revenue(spark, sf_dir):
-    return _rounded(marts.time_vs_revenue(adapters.saved_kpis(spark, sf_dir), floor=10))
+    return _rounded(_above_mean(marts.time_vs_revenue, adapters.saved_kpis(spark, sf_dir)))
 
 
 @query
@@ -414,7 +420,7 @@ def retail_high_value(spark, sf_dir):
 
 @query
 def retail_high_value_total(spark, sf_dir):
-    return _rounded(retail.high_value_total(adapters.retail(spark, sf_dir)), 2)
+    return _rounded(retail.high_value_total(adapters.retail(spark, sf_dir), 200_000.0), 2)
 
 
 @query
@@ -523,3 +529,38 @@ def avg_score_for_ids(spark, sf_dir):
     urgent = adapters.orders(spark, sf_dir).filter("o_orderpriority = '1-URGENT'")
     ids = urgent.withColumnRenamed("o_custkey", "id")
     return _rounded(tables.average_for_ids(scores, ids, "id", "c_acctbal", 5000))
+
+
+@query
+def median_with_missing(spark, sf_dir):
+    """Median and maximum per priority, of which one has no value and the others lack some."""
+    known = (F.col("o_orderpriority") != "5-LOW") & (F.col("o_orderstatus") != "P")
+    rows = adapters.orders(spark, sf_dir).withColumn("price", F.when(known, F.col("o_totalprice")))
+    return _rounded(tables.median_and_maximum(rows, "price", "o_orderpriority"))
+
+
+@query
+def gate_null_rates_high(spark, sf_dir):
+    """Null rates of trips that lack many values."""
+    return _rounded(quality.null_rate_report(adapters.sparse_trips(spark, sf_dir)), 6)
+
+
+@query
+def filter_times_present(spark, sf_dir):
+    """Valid trips where some have no pickup time."""
+    return filters.keep_valid(adapters.sparse_trips(spark, sf_dir)).select("trip_id")
+
+
+@query
+def weekly_kpis_reference(spark, sf_dir):
+    """KPI table over trips cleaned by the older rules."""
+    trips = filters.keep_valid(adapters.trips(spark, sf_dir), "reference")
+    return _rounded(kpis.calculate_kpis(trips, adapters.zones(spark, sf_dir)))
+
+
+@query
+def weekly_volume_csv(spark, sf_dir):
+    """Trips per week and borough exported as CSV with header and read back."""
+    rows = marts.weekly_volume(adapters.saved_kpis(spark, sf_dir))
+    writers.write_csv(rows, path := adapters.saved(rows, "csv"))
+    return spark.read.schema(rows.schema).option("header", True).csv(path)

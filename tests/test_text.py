@@ -28,11 +28,6 @@ def test_reference_mode_keeps_the_empty_tokens_a_split_gives(spark):
     assert found == counts(text.word_counts(frame(spark)))
 
 
-def test_split_lines(spark):
-    df = frame(spark, ["a\nb\r\nc\rd"])
-    assert [r.value for r in text.split_lines(df, "value").collect()] == ["a", "b", "c", "d"]
-
-
 def test_char_counts_and_top(spark):
     df = frame(spark, ["aAé", "\U0001f600a b", ""])
     found = text.char_counts(df)
