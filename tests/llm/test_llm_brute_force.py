@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from farelight.llm import bpe, components, langid, mixing, privacy, quality, simhash, substrings, suffixes, topk, toxicity
 from farelight.llm.queries import ORACLE, QUERIES
-from test_llm_edges import BPE
+from tests.llm.test_llm_edges import BPE
 
 SMALL = "/root/testdata/sf0.001"
 
