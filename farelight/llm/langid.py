@@ -74,7 +74,7 @@ def learn_profiles(docs: DataFrame, text: str, lang: str, doc_id: str, limit: in
             for name, values in texts.items():
                 codes, counts = grams(" ".join(values))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(codes)), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"]
+                    [pa.array([name] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"]
                 )
 
     counted = chosen.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))

@@ -137,7 +137,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counts[int(label == 1)].update({None, *tokens(text)})
         for label, counter in counts.items():
-            columns = [pa.array(list(counter), pa.string()), pa.array([label] * len(counter)), pa.array(list(counter.values()))]
+            columns = [
+                pa.array(list(counter), pa.string()),
+                pa.array([label] * len(counter), pa.int64()),
+                pa.array(list(counter.values()), pa.int64()),
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=["token", "label", "n"])
 
 

@@ -116,3 +116,21 @@ def test_search_edges(spark):
     large = spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="fit a long"):
         topk.search(large, asked).collect()
+
+
+def test_batches_of_one_label(spark):
+    """Batches without a toxic text, or with blank texts alone, have the schema of all others."""
+    docs = spark.createDataFrame(
+        [(i, "you utter scum and trash" if i % 7 == 0 and i > 60 else f"a fine day {i}", "en") for i in range(90)]
+        + [(i, "", "de") for i in range(90, 99)],
+        "doc_id long, text string, lang string",
+    ).coalesce(1)
+    labels = docs.selectExpr("doc_id", "int(text like '%scum%') as toxic")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        rows = toxicity.score_toxicity(docs, labels).collect()
+        assert len(rows) == 99 and len(langid.identify(docs).collect()) == 99
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    scores = {r.doc_id: r.score for r in rows}
+    assert min(scores[i] for i in (63, 70, 77, 84)) > max(scores[i] for i in (61, 62, 64, 90))
