@@ -32,6 +32,8 @@ BLOCKS = 256
 #: Slots of a shard at least, and shards at most; beyond, shards grow.
 SHARD = 1024
 SHARDS = 5000
+#: Slots laid out in memory at a time.
+SLOTS_AT_ONCE = 1 << 18
 SEED = 2024
 
 
@@ -137,22 +139,27 @@ def slots(spark: SparkSession, sources: Sequence[Source], seed: int = SEED) -> D
     """Every slot: ``shard, number, slot, round, block``; ``number`` is the source's."""
     blocks = {s.number: s.blocks for s in sources}
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts = []
-        for shard, number, first, count in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            slot = np.arange(first, first + count)
-            turn, at = np.divmod(slot, blocks[number])
-            block = np.empty_like(at)
-            for t in np.unique(turn):
-                same = turn == t
-                block[same] = permuted(at[same], blocks[number], (seed * 1_000_003 + number) * 16 + int(t))
-            parts.append((np.full(count, shard), np.full(count, number), slot, turn, block))
-        columns = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=["shard", "number", "slot", "round", "block"])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, number, begin, upto in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                slot = np.arange(begin, upto)
+                turn, at = np.divmod(slot, blocks[number])
+                block = np.empty_like(at)
+                for t in np.unique(turn):
+                    same = turn == t
+                    block[same] = permuted(at[same], blocks[number], (seed * 1_000_003 + number) * 16 + int(t))
+                columns = [np.full(len(slot), shard), np.full(len(slot), number), slot, turn, block]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in columns], names=["shard", "number", "slot", "round", "block"]
+                )
 
     drawn = spark.createDataFrame(list(draw(sources, seed)), "shard long, number long, first long, count long")
-    return map_rows(drawn, "shard long, number long, slot long, round long, block long", work)
-
+    # At most so many slots of one shard and source are laid out at a time.
+    end = F.col("first") + F.col("count")
+    begin = F.explode(F.sequence("first", end - 1, F.lit(SLOTS_AT_ONCE)))
+    ranges = drawn.select("shard", "number", begin.alias("begin"), end.alias("end"))
+    ranges = ranges.select("shard", "number", "begin", F.least("end", F.col("begin") + SLOTS_AT_ONCE))
+    return ranges.mapInArrow(work, "shard long, number long, slot long, round long, block long")
 
 
 def place(sized: DataFrame, sources: Sequence[Source]) -> DataFrame:
