@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from farelight.llm.common import map_rows
 from farelight.operators.ranking import running_total
@@ -188,8 +188,8 @@ def fragments(placed: DataFrame) -> DataFrame:
     return cut.select("number", "block", "row", "doc_id", first.alias("first"), (upto - first).alias("words"))
 
 
-def sizes(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
-    """``row, doc_id, source, size`` of every row; ``row`` is a hash that orders equal ids."""
+def sizes(docs: DataFrame, text: str, source: str, doc_id: str, row: Column | None = None) -> DataFrame:
+    """``row, doc_id, source, size`` of every row; ``row`` tells rows with equal ids apart."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts = [0 if t is None else len(t.encode().split()) for t in batch.column(3).to_pylist()]
@@ -197,7 +197,7 @@ def sizes(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "source", "size"])
 
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         F.col(text).alias("text"),
@@ -228,9 +228,9 @@ def mixture(docs: DataFrame, text: str = "text", source: str = "source", doc_id:
     )
 
 
-def taken_parts(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
+def taken_parts(docs: DataFrame, text: str, source: str, doc_id: str, row: str) -> DataFrame:
     """``row, copy, parts``: word ranges ``first, words`` of each copy of a document, in order."""
-    sized = sizes(docs, text, source, doc_id)
+    sized = sizes(docs, text, source, doc_id, F.col(row))
     sources = plan(sized)
     placed = written(place(sized, sources), "placed")
     times = slots(docs.sparkSession, sources).groupBy("number", "block").agg(F.count("*").alias("times"))
@@ -264,13 +264,14 @@ def mix_documents(
     """The mixture as documents: a row for each copy taken, its text cut to what was drawn.
 
     Other columns stay as they are; ``length``, if there is such a column, is counted anew.
-    ``docs`` has to give its rows in the same order each time, as a table does.
     """
-    parts = taken_parts(docs, text, source, doc_id)
-    # By number, so that no name of the table can clash with those of the parts.
-    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    marked = numbered.withColumn("row", F.monotonically_increasing_id()).join(parts, "row")
-    at, what = marked.columns.index(f"c{docs.columns.index(text)}"), marked.columns.index("parts")
+    # By number, so that no name of the table can clash with those of the parts. Rows are
+    # written with their number: a second scan would number them otherwise if executors had
+    # come or gone in between, for files are cut by the cores there are.
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    numbered = written(docs.toDF(*names.values()).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    marked = numbered.join(taken_parts(numbered, names[text], names[source], names[doc_id], "row"), "row")
+    at, what = marked.columns.index(names[text]), marked.columns.index("parts")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [_cut(t, p) for t, p in zip(batch.column(at).to_pylist(), batch.column(what).to_pylist(), strict=True)]
@@ -278,5 +279,5 @@ def mix_documents(
         columns[at] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    cut = map_rows(marked, marked.schema, work).select(*numbered.columns).toDF(*docs.columns)
+    cut = map_rows(marked, marked.schema, work).select(*names.values()).toDF(*docs.columns)
     return cut.withColumn(length, F.length(text).cast("long")) if length in docs.columns else cut
