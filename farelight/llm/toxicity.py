@@ -15,7 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,11 @@ PRIOR = 50.0
 STANDS_OUT = 3.0
 TOKENS = 20_000
 PENALTY = 0.15
-#: Significance (natural log of 1 / E) from which a segment counts.
-SIGNIFICANT = 0.0
+#: Significance (natural log of 1 / E) from which a segment counts: one in a hundred clean
+#: texts of that length has such a segment.
+SIGNIFICANT = math.log(100)
+#: Parameter of the law where there is no clean text to fit it on.
+DEFAULT_CHANCE = 0.1
 _TOKEN = re.compile(r"\w+")
 
 
@@ -79,11 +82,11 @@ class Model:
 
     scores: dict[str, float]
     scale: float = 1.0
-    chance: float = 0.1
+    chance: float = DEFAULT_CHANCE
     weights: tuple[float, ...] = (-2.0, 0.5, 0.0, 0.0)
 
-    def passages(self, found: list[str]) -> list[tuple[int, int, float]]:
-        """Segments of a token list with their significance.
+    def segments(self, found: list[str]) -> list[tuple[int, int, float]]:
+        """Maximal scoring segments of a token list.
 
         Runs of tokens that share the penalty are one step of the scan.
         """
@@ -99,13 +102,17 @@ class Model:
             steps.append(score)
             places.append((at, at + 1))
             last = at + 1
-        size = math.log(self.chance * len(found))
-        return [(places[a][0], places[b - 1][1], self.scale * s - size) for a, b, s in maximal_segments(steps)]
+        return [(places[a][0], places[b - 1][1], s) for a, b, s in maximal_segments(steps)]
+
+    def passages(self, found: list[str]) -> list[tuple[int, int, float]]:
+        """The segments with their significance, ``ln(1 / E)`` by the extreme-value law."""
+        size = math.log(self.chance * max(1, len(found)))
+        return [(a, b, self.scale * s - size) for a, b, s in self.segments(found)]
 
     def features(self, text: str | None) -> tuple[float, float, float]:
-        """Best significance, sum of all significant ones, length; zeros if nothing scores."""
+        """By how much the best segment, and all together, are beyond the least significance; length."""
         found = tokens(text)
-        worth = [w for _, _, w in self.passages(found) if w > SIGNIFICANT]
+        worth = [w - SIGNIFICANT for _, _, w in self.passages(found) if w > SIGNIFICANT]
         if not worth:
             return 0.0, 0.0, math.log1p(len(found))
         return math.log1p(max(worth)), math.log1p(sum(worth)), math.log1p(len(found))
@@ -172,6 +179,17 @@ def law(scores: np.ndarray, rates: np.ndarray) -> float:
     return low
 
 
+def chance(best: np.ndarray, sizes: np.ndarray, scale: float) -> float:
+    """Other parameter of the law, by maximum likelihood, from clean texts.
+
+    The best segment of a text of ``n`` tokens scores above ``x`` with probability
+    ``1 - exp(-chance * n * exp(-scale * x))``. A text without a segment, which scores 0
+    here, is known to score no more.
+    """
+    weight = float((sizes * np.exp(-scale * best)).sum())
+    return max(1, np.count_nonzero(best)) / weight if weight else DEFAULT_CHANCE
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2) -> tuple[float, ...]:
     """Weights, the constant first, by Newton's method."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -207,6 +225,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, text: str, doc_id: str
     rates = (clean[out] + 0.5) / (n_clean * length)
     model = Model(scores, law(odds[out], rates))
 
+    def best_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [tokens(t) for t in batch.column(0).to_pylist()]
+        best = [max((s for _, _, s in model.segments(f)), default=0.0) for f in found]
+        columns = [pa.array(best, pa.float64()), pa.array([len(f) for f in found], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["best", "size"])
+
+    plain = map_rows(rows.filter("label <> 1"), "best double, size long", best_of).toPandas().sort_values(["best", "size"])
+    model = replace(model, chance=chance(plain["best"].to_numpy(), plain["size"].to_numpy(), model.scale))
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([model.features(t) for t in batch.column(0).to_pylist()]).reshape(-1, 3)
         columns = [pa.array(found[:, i]) for i in range(3)] + [batch.column(1)]
@@ -214,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, text: str, doc_id: str
 
     seen = map_rows(rows, "a double, b double, c double, label int", work).toPandas().sort_values(["a", "b", "c", "label"])
     weights = fit_logistic(seen[["a", "b", "c"]].to_numpy(), (seen["label"] == 1).to_numpy(float))
-    return Model(scores, model.scale, weights=weights)
+    return replace(model, weights=weights)
 
 
 def score_toxicity(
