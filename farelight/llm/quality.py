@@ -1,10 +1,12 @@
 """Quality rules as a short-circuit cascade, in DataFrame expressions only.
 
-Every rule is a condition that rejects a document. On a sample, a rule's rejection rate and
-its cost (the time it takes alone) are measured; the cascade asks the rules in the order of
-rejection per cost, as the branches of one conditional expression, so that a document is
-not asked further once it is rejected. The order changes the cost and the reported first
-reason, never the verdict.
+Every rule is a condition on measures of a text that rejects a document. On a sample, a
+rule's rejection rate and its cost (the time that its measures and the rule take on the
+texts) are measured; the cascade asks the rules in the order of rejection per cost. Where
+only the verdict is wanted (``keep_good``), a document that is rejected is not measured
+further. Where the measures are wanted too (``judge``), all of them are taken and the
+cascade is one conditional expression over them. The order changes the cost and the
+reported first reason, never the verdict.
 """
 
 from __future__ import annotations
@@ -96,42 +98,67 @@ def count_covered(starts: Column) -> Column:
     )
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``_doc, _text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``."""
-    split = with_words(docs, text).withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+def measure(df: DataFrame, name: str, open_: Column | None = None) -> DataFrame:
+    """Adds a measure of ``_text`` and ``_words``; where ``open_`` is false, that of no text."""
+
+    def asked(value: Column, nothing: Column) -> Column:
+        return value if open_ is None else F.when(open_, value).otherwise(nothing)
+
+    text, found = asked(F.col("_text"), F.lit("")), asked(F.col("_words"), F.array().cast("array<string>"))
+    if name == "n_words":
+        return df.withColumn(name, F.size(found).cast("long"))
+    if name == "word_chars":
+        return df.withColumn(name, F.length(F.array_join(found, "")).cast("long"))
+    if name == "n_symbols":
+        return df.withColumn("_asked", text).withColumn(name, count_symbols(F.col("_asked")).cast("long")).drop("_asked")
+    if name == "n_dup_lines":
+        return df.withColumn(name, count_dup_lines(text))
     # Hashes of one word, of two, of four and of eight: all windows, in order.
+    df = df.withColumn("_hashes", F.transform(found, lambda w: F.xxhash64(w)))
     for step in (1, 2, 4):
-        split = split.withColumn("_hashes", _doubled(F.col("_hashes"), step))
-    split = split.withColumn("_pairs", repeated_windows(F.col("_hashes")))
-    found = F.struct(
-        F.size("_words").cast("long").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        count_symbols(F.col("_text")).cast("long").alias("n_symbols"),
-        count_dup_lines(F.col("_text")).alias("n_dup_lines"),
-        count_covered(repeat_starts(F.col("_pairs"))).alias("n_repeat_words"),
-    )
-    # Generated, one row from each, so that no filter on the measures moves below them and
-    # has the lambdas compute their arrays for every element.
-    return split.select("_doc", "_text", F.inline(F.array(found)))
+        df = df.withColumn("_hashes", _doubled(F.col("_hashes"), step))
+    df = df.withColumn("_pairs", repeated_windows(F.col("_hashes")))
+    return df.withColumn("n_repeat_words", count_covered(repeat_starts(F.col("_pairs")))).drop("_hashes", "_pairs")
+
+
+def settled(df: DataFrame, *names: str) -> DataFrame:
+    """``_doc``, ``_text`` and the named columns.
+
+    They are generated, one row from each, so that no filter on them moves below and has the
+    lambdas compute their arrays for every element.
+    """
+    return df.select("_doc", "_text", F.inline(F.array(F.struct(*names))))
+
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def measures(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``_doc, _text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``."""
+    split = with_words(docs, text)
+    for name in MEASURES:
+        split = measure(split, name)
+    return settled(split, *MEASURES)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` is SQL over the measures; a null outcome rejects nothing."""
+    """``rejects`` is SQL over the measures it ``needs``; a null outcome rejects nothing."""
 
     name: str
     rejects: str
+    needs: tuple[str, ...] = MEASURES
 
 
 #: The base rules come from the contract. The others are set far from ordinary prose.
 BASE_RULES = (
-    Rule("few_words", f"n_words < {MIN_WORDS}"),
-    Rule("repeated_words", f"100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"),
+    Rule("few_words", f"n_words < {MIN_WORDS}", ("n_words",)),
+    Rule("repeated_words", f"100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words", ("n_words", "n_repeat_words")),
 )
 OTHER_RULES = (
-    Rule("symbols", "10 * n_symbols > 3 * n_words"),
-    Rule("repeated_lines", "2 * n_dup_lines > length(_text) - length(replace(_text, '\\n', '')) + 1"),
-    Rule("word_length", "word_chars > 20 * n_words or word_chars < 2 * n_words"),
+    Rule("symbols", "10 * n_symbols > 3 * n_words", ("n_words", "n_symbols")),
+    Rule("repeated_lines", "2 * n_dup_lines > length(_text) - length(replace(_text, '\\n', '')) + 1", ("n_dup_lines",)),
+    Rule("word_length", "word_chars > 20 * n_words or word_chars < 2 * n_words", ("n_words", "word_chars")),
 )
 RULES = BASE_RULES + OTHER_RULES
 
@@ -144,22 +171,33 @@ class Estimate:
 
     @property
     def worth(self) -> float:
-        return self.rejection / max(self.seconds, 1e-6)
+        return self.rejection / self.seconds
 
 
 def estimate(docs: DataFrame, text: str, rules: Sequence[Rule] = RULES, rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Rejection rate and time of each rule on about ``rows`` rows, best worth first.
+    """Rejection rate and time of each rule on the texts of about ``rows`` rows, best worth first.
 
-    The rows are chosen by a hash of their text, so nothing is moved to choose them.
+    The rows are chosen by a hash of their columns (but maps, which have none), so nothing is
+    moved to choose them, and a text with very many copies counts as often as its share.
     """
     share = 1_000_000 * rows // max(1, docs.count()) + 1
-    chosen = docs.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(1_000_000)) < share).select(F.col(text).alias("text"))
-    sample = written(measures(chosen).drop("_doc"), "quality-sample")
+    hashed = F.xxhash64(*[docs[f"`{name}`"] for name, kind in docs.dtypes if "map<" not in kind])
+    chosen = docs.filter(F.pmod(hashed, F.lit(1_000_000)) < share).select(F.col(text).alias("text"))
+    sample = written(chosen, "quality-sample")
+
+    def timed(aggregate: DataFrame) -> tuple[float | None, float]:
+        started = time.perf_counter()
+        return aggregate.first()[0], time.perf_counter() - started
+
+    # What any job over the texts takes is no rule's own cost.
+    _, common = timed(sample.agg(F.sum(F.octet_length("text"))))
     found = []
     for rule in rules:
-        started = time.perf_counter()
-        rejected = sample.agg(F.avg(F.expr(f"if({rule.rejects}, 1.0D, 0.0D)"))).first()[0]
-        found.append(Estimate(rule, rejected or 0.0, time.perf_counter() - started))
+        measured = with_words(sample, "text")
+        for name in rule.needs:
+            measured = measure(measured, name)
+        rejected, seconds = timed(settled(measured, *rule.needs).agg(F.avg(F.expr(f"if({rule.rejects}, 1.0D, 0.0D)"))))
+        found.append(Estimate(rule, rejected or 0.0, max(seconds - common, 1e-3)))
     return sorted(found, key=lambda e: (-e.worth, rules.index(e.rule)))
 
 
@@ -184,5 +222,14 @@ def judge(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) ->
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with their columns as they were."""
-    return judge(docs, text, rules).filter("kept").select("_doc.*")
+    """The rows of ``docs`` that no rule rejects, with their columns as they were.
+
+    Each rule takes its measures only of what the rules before it have left.
+    """
+    left, known = with_words(docs, text).withColumn("_open", F.lit(True)), set()
+    for rule in (e.rule for e in estimate(docs, text, rules)):
+        for name in rule.needs:
+            if name not in known:
+                left, known = measure(left, name, F.col("_open")), known | {name}
+        left = left.withColumn("_open", F.col("_open") & ~F.coalesce(F.expr(rule.rejects), F.lit(False)))
+    return settled(left, "_open").filter("_open").select("_doc.*")

@@ -236,6 +236,20 @@ def test_cascade_order_does_not_matter(docs):
     there = {r.doc_id: r.kept for r in quality.judge(docs).select("_doc.doc_id", "kept").collect()}
     back = quality.judge(docs, rules=quality.RULES[::-1]).select("_doc.doc_id", "kept").collect()
     assert there == {r.doc_id: r.kept for r in back}
+    for rules in (quality.RULES, quality.RULES[::-1]):
+        kept = quality.keep_good(docs, rules=rules).collect()
+        assert {r.doc_id for r in kept} == {i for i, good in there.items() if good}
+        assert len(kept) == sum(there.values())
+    measured = quality.keep_good(docs)
+    assert not re.search("Python|Arrow|Pandas", measured._jdf.queryExecution().executedPlan().toString())
+
+
+def test_cascade_prefers_cheap_rules_that_reject(docs):
+    never = quality.Rule("never", "n_words < 0", ("n_words",))
+    found = quality.estimate(docs, "text", (never, *quality.RULES), rows=10**6)
+    assert [e.worth for e in found] == sorted((e.worth for e in found), reverse=True)
+    rejection = {e.rule.name: e.rejection for e in found}
+    assert rejection["never"] == 0 < rejection["few_words"] < 1
     plan = quality.judge(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
@@ -313,6 +327,15 @@ def test_maximal_segments():
         assert got == [(a, b) for a, b, _ in plain(scores)]
 
 
+def test_extreme_value_law():
+    """Best segments drawn from the law give back its parameter, those below zero as zeros."""
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(50, 5000, 20_000)
+    best = (np.log(0.002 * sizes) - np.log(-np.log(rng.random(len(sizes))))) / 1.5
+    assert abs(toxicity.chance(np.maximum(best, 0), sizes, 1.5) / 0.002 - 1) < 0.05
+    assert toxicity.chance(np.empty(0), np.empty(0), 1.5) == toxicity.DEFAULT_CHANCE
+
+
 def test_toxicity_of_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
