@@ -109,16 +109,21 @@ class Model:
         size = math.log(self.chance * max(1, len(found)))
         return [(a, b, self.scale * s - size) for a, b, s in self.segments(found)]
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        """By how much the best segment, and all together, are beyond the least significance; length."""
+    def significant(self, text: str | None) -> tuple[list[tuple[int, int, float]], int]:
+        """All passages beyond the least significance, and the number of tokens."""
         found = tokens(text)
-        worth = [w - SIGNIFICANT for _, _, w in self.passages(found) if w > SIGNIFICANT]
+        return [x for x in self.passages(found) if x[2] > SIGNIFICANT], len(found)
+
+    def features(self, spans: list[tuple[int, int, float]], size: int) -> tuple[float, float, float]:
+        """By how much the best of the spans, and all together, are beyond the least significance; length."""
+        worth = [w - SIGNIFICANT for _, _, w in spans]
         if not worth:
-            return 0.0, 0.0, math.log1p(len(found))
-        return math.log1p(max(worth)), math.log1p(sum(worth)), math.log1p(len(found))
+            return 0.0, 0.0, math.log1p(size)
+        return math.log1p(max(worth)), math.log1p(sum(worth)), math.log1p(size)
 
-    def score(self, text: str | None) -> float:
-        return _logistic(self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], self.features(text), strict=True)))
+    def score(self, spans: list[tuple[int, int, float]], size: int) -> float:
+        features = self.features(spans, size)
+        return _logistic(self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], features, strict=True)))
 
 
 def _logistic(x: float) -> float:
@@ -235,7 +240,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, text: str, doc_id: str
     model = replace(model, chance=chance(plain["best"].to_numpy(), plain["size"].to_numpy(), model.scale))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([model.features(t) for t in batch.column(0).to_pylist()]).reshape(-1, 3)
+        found = np.array([model.features(*model.significant(t)) for t in batch.column(0).to_pylist()]).reshape(-1, 3)
         columns = [pa.array(found[:, i]) for i in range(3)] + [batch.column(1)]
         return pa.RecordBatch.from_arrays(columns, names=["a", "b", "c", "label"])
 
@@ -253,7 +258,8 @@ def score_toxicity(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted, passages`` of every row.
 
-    ``passages`` are the significant segments as ``start, end`` (tokens) and significance.
+    ``passages`` are all significant segments, whatever the score, as ``start, end``
+    (tokens) and significance.
     A null text counts as empty; it has a score too. Repeated rows of ``docs`` stay; a
     document with several labels is toxic if one of them is 1. Rows without an id are
     scored but not learned from. Other columns are not looked at.
@@ -261,11 +267,10 @@ def score_toxicity(
     model = learn(docs, labels, label, text, doc_id)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(2).to_pylist()
-        scores = [model.score(t) for t in texts]
-        spans = [[x for x in model.passages(tokens(t)) if x[2] > SIGNIFICANT] if s > 0.1 else [] for t, s in zip(texts, scores, strict=True)]
+        found = [model.significant(t) for t in batch.column(2).to_pylist()]
+        scores = [model.score(spans, size) for spans, size in found]
         kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("significance", pa.float64())])
-        rows = [[{"start": a, "end": b, "significance": w} for a, b, w in found] for found in spans]
+        rows = [[{"start": a, "end": b, "significance": w} for a, b, w in spans] for spans, _ in found]
         columns = [
             batch.column(0),
             batch.column(1),

@@ -134,3 +134,15 @@ def test_batches_of_one_label(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     scores = {r.doc_id: r.score for r in rows}
     assert min(scores[i] for i in (63, 70, 77, 84)) > max(scores[i] for i in (61, 62, 64, 90))
+
+
+def test_passages_of_low_scores(spark, monkeypatch):
+    """All significant passages are returned, also of a text that the curve scores low."""
+    model = toxicity.Model({"scum": 5.0, "trash": 4.0}, weights=(-20.0, 0.5, 0.5, 0.0))
+    monkeypatch.setattr(toxicity, "learn", lambda *_: model)
+    text = "scum trash " + "a fine day " * 40 + "trash scum"
+    docs = spark.createDataFrame([(1, text), (2, "a fine day"), (3, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.score_toxicity(docs, labels(spark)).collect()}
+    assert rows[1].score < 0.1 and rows[1].predicted == 0
+    assert [(p.start, p.end) for p in rows[1].passages] == [(0, 2), (122, 124)]
+    assert rows[2].passages == rows[3].passages == []
