@@ -3,15 +3,18 @@
 The model reads characters by class in both directions and scores tags (outside, or begin
 and inside of a kind); transitions between tags are learned too, as in a linear-chain CRF.
 It is trained here, in numpy, from spans labelled by the base patterns on a bounded sample.
-It then reads overlapping windows; what all windows of a text find is reconciled over the
-text as a whole, by the best set of spans that do not overlap.
+It then reads overlapping windows. Each character has its scores from the window in which
+it is most central, and the tags of adjoining windows are decided together, as one run that
+grows as long as a span touches its edge: neither the length of a span nor its place in the
+text decides. What the runs of a text find is reconciled over the text as a whole, by the
+best set of spans that do not overlap.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -279,21 +282,53 @@ class Tagger:
                 second[k] = 0.99 * second[k] + 0.01 * g**2
                 self.weights[k] += 0.02 * first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
 
-    def decode(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best tags of each window, and the probability of each of them."""
-        scores, _ = self.emissions(windows)
+    def decode(self, runs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Best tags of each run of ``(time, tag)`` scores, and the probability of each of them.
+
+        Runs come from the longest to the shortest; each step looks at those that reach it.
+        """
+        sizes = np.array([len(r) for r in runs])
+        scores = np.zeros((sizes[0], len(runs), _TAGS))
+        for i, r in enumerate(runs):
+            scores[: len(r), i] = r
+        reach = np.searchsorted(-sizes, -np.arange(sizes[0] + 1), side="left")
         move = self.weights["move"]
-        best, steps = scores[0], []
+        best, steps = scores[0].copy(), np.zeros(scores.shape, np.int8)
         for t in range(1, len(scores)):
-            ways = best[:, :, None] + move
-            steps.append(ways.argmax(1))
-            best = ways.max(1) + scores[t]
-        tags = np.empty(scores.shape[:2], int)
-        tags[-1] = best.argmax(1)
+            n = reach[t]
+            ways = best[:n, :, None] + move
+            steps[t, :n] = ways.argmax(1)
+            best[:n] = ways.max(1) + scores[t, :n]
+        tags = np.zeros(scores.shape[:2], int)
+        tags[sizes - 1, np.arange(len(runs))] = best.argmax(1)
         for t in range(len(scores) - 2, -1, -1):
-            tags[t] = np.take_along_axis(steps[t], tags[t + 1][:, None], 1)[:, 0]
-        chance = np.take_along_axis(self.marginals(scores)[0], tags[:, :, None], 2)[:, :, 0]
-        return tags.T, chance.T
+            n = reach[t + 1]
+            tags[t, :n] = np.take_along_axis(steps[t + 1, :n], tags[t + 1, :n, None], 1)[:, 0]
+        chance = np.ones(tags.shape)
+        some = np.flatnonzero(tags.any(0))  # the others have no span
+        if len(some):
+            chance[:, some] = self._chances(scores[:, some], sizes[some], tags[:, some])
+        return [(tags[:k, i], chance[:k, i]) for i, k in enumerate(sizes.tolist())]
+
+    def _chances(self, scores: np.ndarray, sizes: np.ndarray, tags: np.ndarray) -> np.ndarray:
+        """Probabilities of the given tags; only the forward scores are held whole."""
+        move = self.weights["move"]
+        reach = np.searchsorted(-sizes, -np.arange(len(scores) + 1), side="left")
+        forward, out = np.zeros_like(scores), np.ones(tags.shape)
+        forward[0] = scores[0]
+        for t in range(1, len(scores)):
+            n = reach[t]
+            forward[t, :n] = scores[t, :n] + _logsumexp(forward[t - 1, :n, :, None] + move, 1)
+        norm = _logsumexp(forward[sizes - 1, np.arange(len(sizes))], 1)
+        backward = np.zeros(scores.shape[1:])
+        for t in range(len(scores) - 1, -1, -1):
+            n = reach[t + 1]
+            if n:
+                backward[:n] = _logsumexp((scores[t + 1, :n] + backward[:n])[:, None, :] + move, 2)
+            n = reach[t]
+            both = np.take_along_axis(forward[t, :n] + backward[:n], tags[t, :n, None], 1)[:, 0]
+            out[t, :n] = np.exp(both - norm[:n])
+        return out
 
 
 def window_codes(codes: np.ndarray, starts: list[int]) -> np.ndarray:
@@ -301,19 +336,80 @@ def window_codes(codes: np.ndarray, starts: list[int]) -> np.ndarray:
     return padded[np.array(starts, int)[:, None] + np.arange(WINDOW)]
 
 
-def spans_in(tags: np.ndarray, chance: np.ndarray, start: int, length: int) -> Iterator[tuple[float, Span]]:
-    """Spans of one window that it holds whole, with their mean probability."""
+#: Text, first and last window of a run.
+Run = tuple[int, int, int]
+
+
+def joined(found: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """First and last window of each run; runs that follow each other or overlap are one."""
+    runs: list[tuple[int, int]] = []
+    for first, last in sorted(found):
+        if runs and first <= runs[-1][1] + 1:
+            runs[-1] = (runs[-1][0], max(runs[-1][1], last))
+        else:
+            runs.append((first, last))
+    return runs
+
+
+def run_scores(model: Tagger, runs: list[Run], codes: list[np.ndarray], at_once: int) -> list[np.ndarray]:
+    """Tag scores of each character of the runs, from the window where it is most central."""
+    starts, window, place, sizes, before = [], [], [], [], 0
+    for i, first, last in runs:
+        amount = last - first + 1
+        size = min((amount - 1) * STRIDE + WINDOW, len(codes[i]) - first * STRIDE)
+        at = np.arange(size)
+        own = np.clip((at - (WINDOW - STRIDE) // 2) // STRIDE, 0, amount - 1)
+        window.append(own + before)
+        place.append(at - own * STRIDE)
+        starts.extend((i, k * STRIDE) for k in range(first, last + 1))
+        sizes.append(size)
+        before += amount
+    windows, places = np.concatenate(window), np.concatenate(place)
+    out = np.empty((len(windows), _TAGS))
+    for a in range(0, before, at_once):
+        part = starts[a : a + at_once]
+        rows, k = [], 0
+        while k < len(part):
+            upto = k
+            while upto < len(part) and part[upto][0] == part[k][0]:
+                upto += 1
+            rows.append(window_codes(codes[part[k][0]], [s for _, s in part[k:upto]]))
+            k = upto
+        scores, _ = model.emissions(np.concatenate(rows))
+        low, high = np.searchsorted(windows, [a, a + at_once])
+        out[low:high] = scores[places[low:high], windows[low:high] - a]
+    return np.split(out, np.cumsum(sizes)[:-1])
+
+
+def decode_runs(
+    model: Tagger, runs: list[Run], codes: list[np.ndarray], at_once: int
+) -> Iterator[tuple[Run, np.ndarray, np.ndarray]]:
+    """Tags of each run and their probabilities; runs of like length go together."""
+    scores = run_scores(model, runs, codes, at_once)
+    order = sorted(range(len(runs)), key=lambda r: -len(scores[r]))
     at = 0
-    while at < WINDOW:
+    while at < len(order):
+        upto = at
+        while upto < len(order) and 2 * len(scores[order[upto]]) >= len(scores[order[at]]):
+            upto += 1
+        part = order[at:upto]
+        for r, (tags, chance) in zip(part, model.decode([scores[r] for r in part]), strict=True):
+            yield runs[r], tags, chance
+        at = upto
+
+
+def spans_in(tags: np.ndarray, chance: np.ndarray, start: int) -> Iterator[tuple[float, Span]]:
+    """Spans of one run, with their mean probability."""
+    at = 0
+    while at < len(tags):
         tag = tags[at]
         if tag == 0:
             at += 1
             continue
         kind, end = (tag - 1) // 2, at + 1
-        while end < WINDOW and tags[end] == 2 + 2 * kind:
+        while end < len(tags) and tags[end] == 2 + 2 * kind:
             end += 1
-        cut = (at == 0 and start > 0) or (end == WINDOW and start + WINDOW < length)
-        if tag == 1 + 2 * kind and not cut and start + end <= length:
+        if tag == 1 + 2 * kind:
             yield float(chance[at:end].mean()), (KINDS[kind], start + at, start + end)
         at = end
 
@@ -344,34 +440,56 @@ def reconcile(found: list[tuple[float, Span]], base: list[Span]) -> list[Span]:
     return chosen
 
 
-def find_spans(texts: list[str], model: Tagger | None, at_once: int = 512) -> list[tuple[list[Span], list[Span]]]:
-    """Base spans and all spans of each text."""
-    base = [base_spans(t) for t in texts]
-    found: list[list[tuple[float, Span]]] = [[] for _ in texts]
-    if model is not None:
-        pending: list[tuple[int, int]] = []
-        codes: list[np.ndarray] = []
+def model_spans(texts: list[str], model: Tagger, at_once: int = 512) -> list[list[tuple[float, Span]]]:
+    """What the model finds in each text, with mean probabilities.
+
+    A run with a tag at an edge that is not an end of the text is read again with as many
+    windows more on that side, together with the runs that it then touches.
+    """
+    codes, runs = [], []
+    for text in texts:
+        starts = windows_of(text)
+        codes.append(class_codes(text) if starts else np.empty(0, np.int8))
+        runs.append(joined((s // STRIDE, s // STRIDE) for s in starts))
+    # Of each run, what was found in it and the windows that it should have had.
+    known: dict[Run, tuple[list[tuple[float, Span]], tuple[int, int]]] = {}
+    left = [i for i, r in enumerate(runs) if r]
+    while left:
+        pending: list[Run] = []
+        windows = 0
 
         def read() -> None:
-            tags, chance = model.decode(np.concatenate(codes))
-            for (i, start), t, c in zip(pending, tags, chance, strict=True):
-                if t.any():
-                    found[i].extend(spans_in(t, c, start, len(texts[i])))
+            for run, tags, chance in decode_runs(model, pending, codes, at_once):
+                i, first, last = run
+                more, end = last - first + 1, first * STRIDE + len(tags)
+                wanted = (
+                    max(0, first - more) if tags[0] else first,
+                    min((len(texts[i]) - 1) // STRIDE, last + more) if tags[-1] and end < len(texts[i]) else last,
+                )
+                known[run] = list(spans_in(tags, chance, first * STRIDE)) if tags.any() else [], wanted
             pending.clear()
-            codes.clear()
-
-        for i, text in enumerate(texts):
-            starts = windows_of(text)
-            if starts:
-                whole = class_codes(text)
-            for at in range(0, len(starts), at_once):
-                part = starts[at : at + at_once]
-                pending.extend((i, s) for s in part)
-                codes.append(window_codes(whole, part))
-                if len(pending) >= at_once:
-                    read()
+
+        for i in left:
+            for run in runs[i]:
+                if (i, *run) not in known:
+                    pending.append((i, *run))
+                    windows += run[1] - run[0] + 1
+                    if windows >= 4 * at_once:
+                        read()
+                        windows = 0
         if pending:
             read()
+        grown = {i: joined(known[i, *run][1] for run in runs[i]) for i in left}
+        left = [i for i in left if grown[i] != runs[i]]
+        for i in left:
+            runs[i] = grown[i]
+    return [[x for run in r for x in known[i, *run][0]] for i, r in enumerate(runs)]
+
+
+def find_spans(texts: list[str], model: Tagger | None, at_once: int = 512) -> list[tuple[list[Span], list[Span]]]:
+    """Base spans and all spans of each text."""
+    base = [base_spans(t) for t in texts]
+    found = [[] for _ in texts] if model is None else model_spans(texts, model, at_once)
     return [(b, in_order(b + reconcile(f, b))) for b, f in zip(base, found, strict=True)]
 
 

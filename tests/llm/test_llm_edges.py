@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing names, for every operator."""
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -146,3 +147,29 @@ def test_passages_of_low_scores(spark, monkeypatch):
     assert rows[1].score < 0.1 and rows[1].predicted == 0
     assert [(p.start, p.end) for p in rows[1].passages] == [(0, 2), (122, 124)]
     assert rows[2].passages == rows[3].passages == []
+
+
+class Marks(privacy.Tagger):
+    """A tagger that takes each run of ``日`` and ``@`` for an address, whatever its window."""
+
+    def emissions(self, windows):
+        inside = np.isin(windows.T, (5, 6 + privacy._SIGNS.index("@")))[:, :, None]
+        return np.where(inside, [0.0, 12, 10, 0, 0, 0, 0, 0, 0], [10.0, 0, 0, 0, 0, 0, 0, 0, 0]), ()
+
+
+def test_length_and_place_of_a_span_do_not_decide():
+    model = Marks(privacy.Tagger.fresh().weights)
+    model.weights["move"][:] = -50.0
+    for before, after in ((0, 0), (0, 1), (1, 2), (2, 2), (2, 0)):
+        model.weights["move"][before, after] = 0.0
+    texts, want = [], []
+    for size in (8, 31, 32, 43, 62, 63, 64, 100, 400):
+        for start in range(66):
+            for at in (0, size // 2, size - 1):
+                span = "日" * at + "@" + "日" * (size - at - 1)
+                texts.append("a" * max(0, start - 1) + " " * (start > 0) + span + " plain words" * (start % 3 * 20))
+                want.append(([], [("email", start, start + size)]))
+    texts.append("")
+    want.append(([], []))
+    assert privacy.find_spans(texts, model) == want
+    assert privacy.find_spans(texts[::7], model, 3) == want[::7]  # windows of a run in several batches
