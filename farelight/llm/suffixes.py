@@ -7,7 +7,12 @@ anchors are; anchors that occur once are done with. For the others, the stretch
 holds all strings of an anchor goes, by the anchor's hash, to a task where all stretches of
 that anchor meet.
 
-There, stretches that are equal as a whole are repeats of each other. Those that differ but
+An anchor with very many occurrences is hot: around the ends of a passage its stretches would
+hold the neighbouring text of every document that has it. Its strings go out one by one, by
+the hash of the whole string, each once per block; equal 128-bit hashes stand for equal
+strings, and nothing meets by the anchor.
+
+For all other anchors, stretches that are equal as a whole are repeats of each other. Those that differ but
 share an anchor are cut into phrases at the places mentioned, and a suffix array is built
 over the phrases in linear time by grouping: suffixes are grouped by their Lyndon prefix,
 groups being processed in descending order and split with pointers to the previous smaller
@@ -31,15 +36,14 @@ from farelight.llm.blocks import (
     Block,
     Rolling,
     answers,
-    ask_hashes,
     bits_of,
     byte_values,
     cells_of,
     each_block,
-    meet_hashes,
     mix,
     number_of_cells,
     question,
+    split_bits,
     text_bytes,
     write_blocks,
 )
@@ -57,6 +61,10 @@ AHEAD = 60
 #: Anchors, and stretches, that meet in one task at most, about.
 ANCHORS = 1_000_000
 STRETCHES = 40_000
+#: Occurrences beyond which an anchor is hot: stretches do not meet by it. At most 255.
+HOT = 255
+#: Bytes of text for each string of hot anchors that the number of their cells allows for.
+HOT_APART = 4
 
 
 def sort_suffixes(symbols: list[int]) -> list[int]:
@@ -196,7 +204,10 @@ class Stretches:
 
     def __init__(self, block: Block, found: list[dict] | None, cells: int):
         anchors = Anchors(block)
-        repeated = bits_of(found, *cells_of(anchors.unique, cells))[anchors.which]
+        order, cut = cells_of(anchors.unique, cells)
+        hot = bits_of(_hot_part(found, cut), order, cut)[anchors.which]
+        repeated = bits_of(found, order, cut)[anchors.which] & ~hot
+        self._strings(block, anchors, hot)
         self.low, self.high = anchors.low[repeated], anchors.high[repeated]
         known: dict[bytes, int] = {}
         data = block.data
@@ -211,28 +222,93 @@ class Stretches:
         self.many = np.bincount(self.which, minlength=len(known)) > 1
 
 
-def _ask_anchors(block: Block, cells: int) -> pa.RecordBatch:
-    anchors = Anchors(block)
-    return ask_hashes(block.number, anchors.unique, anchors.which, cells)
+    def _strings(self, block: Block, anchors: Anchors, hot: np.ndarray) -> None:
+        """Strings of hot anchors: starts, distinct hashes (two of each), which of them, and which twice."""
+        amount = (anchors.high - anchors.low + 1)[hot]
+        self.hot = np.arange(amount.sum()) + np.repeat(anchors.low[hot] - np.cumsum(amount) + amount, amount)
+        self.hashes, self.hot_which = np.empty((0, 2), np.uint64), np.empty(0, np.int64)
+        if len(self.hot):
+            other = Rolling(byte_values(1)[block.bytes], 1)
+            both = np.column_stack([roll(self.hot, self.hot + LENGTH) for roll in (anchors.roll, other)])
+            by = np.lexsort((both[:, 1], both[:, 0]))
+            new = np.append(True, (both[by][1:] != both[by][:-1]).any(1))
+            self.hashes, self.hot_which = both[by][new], np.empty(len(by), np.int64)
+            self.hot_which[by] = np.cumsum(new) - 1
+        self.hot_many = np.bincount(self.hot_which, minlength=len(self.hashes)) > 1
+
 
+def _hot_part(found: list[dict] | None, cut: np.ndarray) -> list[dict]:
+    """The second half of the answers about anchors."""
+    return [{"cell": r["cell"], "answer": r["answer"][(cut[r["cell"] + 1] - cut[r["cell"]] + 7) // 8 :]} for r in found or []]
 
-def _ask_stretches(block: Block, found: list[dict] | None, cells: int, stretch_cells: int) -> pa.RecordBatch | None:
+
+def _ask_anchors(block: Block, cells: int) -> pa.RecordBatch:
+    anchors = Anchors(block)
+    count = np.minimum(np.bincount(anchors.which, minlength=len(anchors.unique)), 255).astype(np.uint8)
+    order, cut = cells_of(anchors.unique, cells)
+    return question(block.number, order, cut, lambda at: anchors.unique[at].tobytes() + count[at].tobytes())
+
+
+def _meet_anchors(packed: list[bytes], hot: int) -> list[bytes]:
+    """For each anchor, a bit: it occurs more than once; then for each, a bit: it is hot."""
+    sizes = [len(p) // 9 for p in packed]
+    rows = list(zip(packed, sizes, strict=True))
+    keys = np.concatenate([np.frombuffer(p, np.uint64, n) for p, n in rows])
+    count = np.concatenate([np.frombuffer(p, np.uint8, n, 8 * n) for p, n in rows]).astype(np.int64)
+    order = np.argsort(keys)
+    first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1])) if len(keys) else np.empty(0, np.int64)
+    total = np.empty(len(keys), np.int64)
+    total[order] = np.repeat(np.add.reduceat(count[order], first), np.diff(first, append=len(keys)))
+    return [a + b for a, b in zip(split_bits(total > 1, sizes), split_bits(total > hot, sizes), strict=True)]
+
+
+def _ask_stretches(
+    block: Block, found: list[dict] | None, cells: int, stretch_cells: int, hot_cells: int
+) -> pa.RecordBatch | None:
+    """Stretches go to the first cells, strings of hot anchors to those behind."""
     if not found:
         return None
     asked = Stretches(block, found, cells)
     order, cut = cells_of(asked.key, stretch_cells)
+    strings, string_cut = cells_of(asked.hashes[:, 0], hot_cells)
 
     def pack(at: np.ndarray) -> bytes:
+        if at[0] >= len(order):
+            at = at - len(order)
+            return b"".join([_STRINGS, asked.hashes[at].tobytes(), asked.hot_many[at].tobytes()])
         texts = [asked.texts[i] for i in at]
         sizes = np.array([len(t) for t in texts], np.uint32)
         head = np.array([len(at)], np.int64)
         data = b"".join([head.tobytes(), asked.key[at].tobytes(), sizes.tobytes(), asked.many[at].tobytes(), *texts])
-        return zstandard.ZstdCompressor(3).compress(data)
+        return _TEXTS + zstandard.ZstdCompressor(3).compress(data)
 
-    return question(block.number, order, cut, pack)
+    both = np.concatenate([order, strings + len(order)])
+    return question(block.number, both, np.concatenate([cut, string_cut[1:] + len(order)]), pack)
 
 
-def _meet_stretches(_: list[int], packed: list[bytes]) -> list[bytes]:
+#: What a question to a cell is made of.
+_TEXTS, _STRINGS = b"t", b"s"
+
+
+def _meet(_: list[int], packed: list[bytes]) -> list[bytes]:
+    """For each stretch, a bit for each of its strings, or for each string of a hot anchor, a bit: it occurs elsewhere too."""
+    rest = [memoryview(p)[1:] for p in packed]
+    return _meet_strings(rest) if packed[0][:1] == _STRINGS else _meet_stretches(rest)
+
+
+def _meet_strings(packed: list[memoryview]) -> list[bytes]:
+    sizes = [len(p) // 17 for p in packed]
+    rows = list(zip(packed, sizes, strict=True))
+    hashes = np.concatenate([np.frombuffer(p, np.uint64, 2 * n) for p, n in rows]).reshape(-1, 2)
+    out = np.concatenate([np.frombuffer(p, bool, n, 16 * n) for p, n in rows])
+    by = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    same = (hashes[by][1:] == hashes[by][:-1]).all(1)
+    out[by[1:][same]] = True
+    out[by[:-1][same]] = True
+    return split_bits(out, sizes)
+
+
+def _meet_stretches(packed: list[memoryview]) -> list[bytes]:
     """For each stretch, a bit for each of its strings: it occurs elsewhere too."""
     known: dict[bytes, int] = {}
     keys: list[int] = []
@@ -315,7 +391,13 @@ def repeated_strings(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def _keep(
-    block: Block, found: list[dict] | None, repeats: list[dict] | None, cells: int, stretch_cells: int, digest: bool
+    block: Block,
+    found: list[dict] | None,
+    repeats: list[dict] | None,
+    cells: int,
+    stretch_cells: int,
+    hot_cells: int,
+    digest: bool,
 ) -> pa.RecordBatch:
     """Texts of a block without the bytes that repeated strings cover."""
     removed = np.zeros(len(block.bytes), bool)
@@ -323,7 +405,10 @@ def _keep(
         asked = Stretches(block, found, cells)
         order, cut = cells_of(asked.key, stretch_cells)
         strings: list[np.ndarray | None] = [None] * len(asked.texts)
+        hot = [{"cell": r["cell"] - stretch_cells, "answer": r["answer"]} for r in repeats or [] if r["cell"] >= stretch_cells]
         for row in repeats or []:
+            if row["cell"] >= stretch_cells:
+                continue
             own = order[cut[row["cell"]] : cut[row["cell"] + 1]]
             bits = np.unpackbits(np.frombuffer(row["answer"], np.uint8)).astype(bool)
             begin = 0
@@ -333,6 +418,7 @@ def _keep(
                 begin = end
         change = np.zeros(len(block.bytes) + 1, np.int64)
         at = [low + np.flatnonzero(strings[i]) for low, i in zip(asked.low.tolist(), asked.which.tolist(), strict=True)]
+        at.append(asked.hot[bits_of(hot, *cells_of(asked.hashes[:, 0], hot_cells))[asked.hot_which]])
         if at:
             begin = np.concatenate(at)
             np.add.at(change, begin, 1)
@@ -357,7 +443,7 @@ def _keep(
     return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", digest: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", digest: bool = False, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row; ``kept`` is binary.
 
     A byte goes if a string of 200 bytes that covers it occurs at another place too, in the
@@ -365,22 +451,26 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     one to the next. ``n_spans`` counts the runs of bytes that go. A null text counts as
     empty; shorter texts lose nothing; repeated rows repeat each other. ``kept`` need not be
     valid UTF-8, for bytes may be cut inside a character. With ``digest``, ``kept_sha256``
-    takes its place. Other columns are not looked at.
+    takes its place. Other columns are not looked at. ``hot`` decides only on the path that
+    strings take, never on the result.
     """
     blocks = write_blocks(docs, text, doc_id)
     size = text_bytes(blocks)
     # Bytes from one anchor to the next, at random.
     apart = (LENGTH - AHEAD - BEHIND + RATE) / 2
     cells, stretch_cells = number_of_cells(size / apart, ANCHORS), number_of_cells(size / apart, STRETCHES)
-    found = answers(each_block(blocks, QUESTION, lambda b: _ask_anchors(b, cells)), meet_hashes, "found")
+    hot_cells = number_of_cells(size / HOT_APART, ANCHORS)
+    found = answers(
+        each_block(blocks, QUESTION, lambda b: _ask_anchors(b, cells)), lambda _, packed: _meet_anchors(packed, hot), "found"
+    )
     asked = each_block(
-        blocks.join(found, "block", "left"), QUESTION, lambda b, f: _ask_stretches(b, f, cells, stretch_cells)
+        blocks.join(found, "block", "left"), QUESTION, lambda b, f: _ask_stretches(b, f, cells, stretch_cells, hot_cells)
     )
-    repeats = answers(asked, _meet_stretches, "repeats")
+    repeats = answers(asked, _meet, "repeats")
     both = blocks.join(found, "block", "left").join(repeats, "block", "left")
     kept = "kept_sha256 string" if digest else "kept binary"
     return each_block(
         both,
         f"doc_id long, n_bytes long, n_removed long, n_spans long, {kept}",
-        lambda b, f, r: _keep(b, f, r, cells, stretch_cells, digest),
+        lambda b, f, r: _keep(b, f, r, cells, stretch_cells, hot_cells, digest),
     )

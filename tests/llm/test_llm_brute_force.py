@@ -78,6 +78,26 @@ def test_suffixes(spark, docs, texts):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == repeated_bytes(odd)
 
 
+def test_hot_anchors(spark):
+    """A passage with other neighbours in each text: nothing meets by its anchors beyond the bound."""
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abc ") for _ in range(700))
+    own = ["".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(300)]
+    odd = {k: own[k] + passage + own[(k + 1) % 300 if k % 10 == 0 else k][::-1] for k in range(300)}
+    docs = spark.createDataFrame(list(odd.items()), "doc_id long, text string").repartition(6)
+    want, blocks = repeated_bytes(odd), suffixes.write_blocks(docs, "text", "doc_id").collect()
+    blocks = [suffixes.Block(r.block, r.ids, r.lengths, r.data) for r in blocks]
+    asked = [(b.number, suffixes._ask_anchors(b, 1).column("packed")[0].as_py()) for b in blocks]
+    met = suffixes._meet_anchors([p for _, p in asked], 255)
+    keys = Counter()
+    for b, answer in zip(blocks, met, strict=True):
+        keys.update(suffixes.Stretches(b, [{"cell": 0, "answer": answer}], 1).key.tolist())
+    assert max(keys.values(), default=0) <= 255
+    for hot in (1, 4, 255):
+        got = suffixes.remove_repeats(docs, digest=True, hot=hot).collect()
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for _ in range(3000):
