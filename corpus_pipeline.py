@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelight.llm import bpe, mixing, privacy, quality, simhash
 from farelight.llm.common import ship_package
@@ -43,9 +43,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and digest of the token ids of each document, and of what they decode to."""
+    """Token ids of each document, their number, and digests of them and of what they decode to."""
     ship_package(spark)
-    return bpe.digest(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    coded = bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    digests = F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    return coded.select("doc_id", "n_tokens", "ids", *digests)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

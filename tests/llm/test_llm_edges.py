@@ -1,10 +1,14 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing names, for every operator."""
 
+import base64
+import hashlib
+
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from farelight.llm import bpe, langid, mixing, privacy, quality, simhash, substrings, suffixes, topk, toxicity
 
 SCHEMA = (
@@ -173,3 +177,19 @@ def test_length_and_place_of_a_span_do_not_decide():
     want.append(([], []))
     assert privacy.find_spans(texts, model) == want
     assert privacy.find_spans(texts[::7], model, 3) == want[::7]  # windows of a run in several batches
+
+
+def test_pipeline_writes_token_ids(spark):
+    """The last stage's ids are those of the text, and the digests are of the same."""
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        words = {int(n): base64.b64decode(w) for w, n in (line.split() for line in f if line.strip())}
+    texts = {1: "Two words, 12 numbers", 2: "日本 é", 3: "", 4: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = corpus_pipeline.tokens(spark, docs, "").collect()
+    assert len(rows) == 4
+    for r in rows:
+        ids = [int(i) for i in r.ids.split(",")] if r.ids else []
+        data = b"".join(words[i] for i in ids)
+        assert data == (texts[r.doc_id] or "").encode() and r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(r.ids.encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(data).hexdigest()
