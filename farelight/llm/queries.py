@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farelight.llm import bpe, langid, mixing, privacy, quality, simhash, substrings, suffixes, topk, toxicity
+from farelight.llm import (
+    bpe,
+    jaccard,
+    langid,
+    mixing,
+    periodic,
+    prefixes,
+    privacy,
+    quality,
+    simhash,
+    substrings,
+    suffixes,
+    topk,
+    toxicity,
+)
 from farelight.llm.common import ship_package, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -59,6 +73,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapse_runs(table(spark, sf_dir, "documents"), digest=True, plant=True)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"), family=prefixes.FAMILY)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -81,6 +107,9 @@ QUERIES = {
         op8_quality_rules,
         op9_simhash,
         op10_toxicity,
+        op11_ngram_jaccard,
+        op12_periodic_runs,
+        op13_prefix_trie,
     )
 }
 
