@@ -56,11 +56,12 @@ CELL = 500_000
 ROUNDS = 2
 
 
-def shingles(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingle hashes of each document of a block, and the document of each."""
-    data = np.frombuffer(block.data.lower(), np.uint8)
+def shingles(text: bytes, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of the documents that begin at the given bytes, and the
+    document of each. A line end stands between documents."""
+    data = np.frombuffer(text.lower(), np.uint8)
     starts, ends = word_places(data)
-    cuts = np.searchsorted(starts, np.append(block.starts, len(data)))
+    cuts = np.searchsorted(starts, np.append(begins, len(data)))
     count = np.diff(cuts)
     # A document with fewer words has its whole sequence as one shingle.
     windows = np.where(count >= SHINGLE, count - SHINGLE + 1, np.minimum(count, 1))
@@ -98,7 +99,8 @@ def _count_shingles(blocks: DataFrame) -> np.ndarray:
         total = np.zeros(1 << COUNTERS, np.int64)
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, _ = shingles(Block(row["block"], row["ids"], row["lengths"], row["data"]))
+                block = Block(row["block"], row["ids"], row["lengths"], row["data"])
+                hashes, _ = shingles(block.data, block.starts)
                 total += np.bincount(_counter(hashes), minlength=len(total))
         if total.any():
             rows = [part.tobytes() for part in total.reshape(-1, _SLICE)]
@@ -130,7 +132,7 @@ def _mark(blocks: DataFrame) -> DataFrame:
     cells = number_of_cells(text_bytes(blocks) / 30, CELL)
 
     def prefixes(block: Block):
-        hashes, doc = shingles(block)
+        hashes, doc = shingles(block.data, block.starts)
         hashes, pos = _rarest_first(hashes, doc, np.frombuffer(counts.value, np.uint64))
         n = np.bincount(doc, minlength=len(block.ids))
         inside = pos < prefix_length(n)[doc]
@@ -170,13 +172,15 @@ def _mark(blocks: DataFrame) -> DataFrame:
 
 
 def _sets(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, tokens``: whole sets of the classes asked for, read again from one document of each."""
+    """``node, tokens``: whole sets of the classes asked for, made again from one document of each."""
     asked = nodes.groupBy("block").agg(F.collect_list(F.struct("at", "node")).alias("asked"))
 
     def read(block: Block, wanted: list[dict]) -> pa.RecordBatch:
-        hashes, doc = shingles(block)
-        cuts = np.searchsorted(doc, np.arange(len(block.ids) + 1))
-        tokens = [hashes[cuts[w["at"]] : cuts[w["at"] + 1]].view(np.int64) for w in wanted]
+        texts = [block.text(w["at"]) for w in wanted]
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+        hashes, doc = shingles(b"\n".join([*texts, b""]), begins[:-1])
+        cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
+        tokens = [hashes[s:e].view(np.int64) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
         columns = [pa.array([w["node"] for w in wanted], pa.int64()), pa.array(tokens, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(columns, names=["node", "tokens"])
 
@@ -190,8 +194,10 @@ def _may_link(n: Column, pos: Column, m: Column, other_pos: Column) -> Column:
     return sizes & ((100 + PERCENT) * left >= PERCENT * (n + m))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, blocks: DataFrame) -> DataFrame:
     """Of pairs ``a, b`` those whose whole sets are similar enough."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = _sets(blocks, nodes.join(classes.select("node", "home.*"), "node"))
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -209,10 +215,9 @@ _LIST = ["own", "token"]
 def _apart(lists: DataFrame, links: DataFrame | None, name: str) -> DataFrame:
     """Members ``own, token, node, n, pos, label`` of the lists whose members are not all connected."""
     if links is None:
-        members = lists.withColumn("label", F.col("node"))
-    else:
-        found = components(links).withColumnRenamed("component", "label")
-        members = lists.drop("label").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        return lists.withColumn("label", F.col("node"))
+    found = components(links).withColumnRenamed("component", "label")
+    members = lists.drop("label").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     members = written(members, name)
     several = members.groupBy(*_LIST).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
     return written(members.join(several.select(*_LIST), _LIST, "left_semi"), name)
@@ -278,14 +283,12 @@ def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     )
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     lists = _lists(marked, classes)
-    needed = lists.select("node").distinct().join(classes.select("node", "home.*"), "node")
-    sets = _sets(blocks, needed)
 
     links = None
     for turn in range(ROUNDS + 1):
         lists = _apart(lists, links, f"apart{turn}")
         pairs = _with_pivot(lists, turn) if turn < ROUNDS else _still_apart(lists)
-        found = written(_verified(written(pairs, "pairs"), sets), "links")
+        found = written(_verified(written(pairs, "pairs"), classes, blocks), "links")
         links = found if links is None else links.union(found)
 
     found = written(components(links), "components")
