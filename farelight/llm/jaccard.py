@@ -249,11 +249,18 @@ def _still_apart(members: DataFrame) -> DataFrame:
 
 def _lists(marked: DataFrame, classes: DataFrame) -> DataFrame:
     """``own, token, node, n, pos``: the lists with more than one group, and the groups with
-    more than one class (``own``), in classes."""
+    more than one class (``own``), in classes.
+
+    Near copies share many shingles, which gives many lists of the same groups. Of these the
+    one whose shingle is first in the global order stays: it has the least before it in
+    each group, so its filter lets through whatever the others let through.
+    """
     posted = marked.filter(F.size("posted") > 0).select("g", "n", F.explode("posted").alias("p"))
     posted = written(posted.select("g", "n", "p.token", "p.pos").distinct(), "posted")
-    several = posted.groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1").select("token")
-    by_token = posted.join(several, "token", "left_semi").join(classes.select("g", "n", "node"), ["g", "n"])
+    members = [F.bit_xor(F.xxhash64("g", "n")).alias("f1"), F.bit_xor(F.xxhash64("n", "g", F.lit(1))).alias("f2")]
+    several = posted.groupBy("token").agg(F.count("*").alias("groups"), F.sum("pos").alias("before"), *members)
+    several = several.filter("groups > 1").groupBy("groups", "f1", "f2").agg(F.min(F.struct("before", "token")).alias("first"))
+    by_token = posted.join(several.select("first.token"), "token", "left_semi").join(classes.select("g", "n", "node"), ["g", "n"])
     crowded = classes.groupBy("g", "n").agg(F.count("*").alias("members")).filter("members > 1")
     within = classes.join(crowded, ["g", "n"]).select(
         F.lit(True).alias("own"), F.col("g").alias("token"), "node", "n", F.lit(0).alias("pos")
