@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farelight.operators.filters import parse_weeks
 from farelight.operators.quality import enforce, valid_trips
 from farelight.operators.text import word_counts
+from farelight.plans.gold import GoldTable
 from farelight.plans.kpis import calculate_kpis
 from farelight.plans.marts import weekly_volume
 from farelight.session import build_session
@@ -38,8 +39,11 @@ class KpiJob:
     align_to_week: bool = False
     by_week: bool = False
     weekly_metrics: bool = False
+    incremental: bool = False
 
     def __post_init__(self) -> None:
+        if self.incremental and not self.by_week:
+            raise ValueError("incremental needs by_week, as it replaces the weeks that new files touch")
         if self.by_week and not self.align_to_week:
             raise ValueError("by_week needs align_to_week, or a part of a week replaces the whole week")
 
@@ -47,6 +51,8 @@ class KpiJob:
         """Write the KPI table once and return it as saved."""
         zones = read_zones(spark, self.zones_path)
         log.info("zones, rows=%d", zones.count())
+        if self.incremental:
+            return self._merge_new_files(spark, zones)
         raw = read_trips(spark, self.trips_path)
         n_raw, n_clean = enforce(raw, self.mode)
         log.info("trips, raw rows=%d, clean rows=%d", n_raw, n_clean)
@@ -59,6 +65,18 @@ class KpiJob:
         return saved
 
 
+    def _merge_new_files(self, spark: SparkSession, zones: DataFrame) -> DataFrame:
+        """Read only the trip files that are new since the last run; see :class:`GoldTable`."""
+        gold = GoldTable(spark, self.out)
+        log.info("new trip files=%d", gold.merge_files(self.trips_path, zones, self.mode))
+        saved = gold.kpis(self.weeks)
+        if saved is None:
+            raise FileNotFoundError(f"No trip files below {self.trips_path}")
+        if self.weekly_metrics:
+            write_parquet(weekly_volume(saved), child(self.out, "weekly_metrics"))
+        return saved
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Weekly trip KPIs per borough")
     parser.add_argument("--trips", required=True, help="trip parquet file or folder")
@@ -68,6 +86,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--mode", choices=("strict", "reference"), default="strict")
     parser.add_argument("--align-to-week", action="store_true", help="keep whole calendar weeks")
     parser.add_argument("--by-week", action="store_true", help="partition by week, replace only these weeks")
+    parser.add_argument("--incremental", action="store_true", help="merge new trip files only; needs --by-week")
     parser.add_argument("--weekly-metrics", action="store_true", help="also save trips per week and borough")
     return parser.parse_args(argv)
 
@@ -97,6 +116,7 @@ def main(argv: list[str] | None = None) -> int:
         given.align_to_week,
         given.by_week,
         given.weekly_metrics,
+        given.incremental,
     )
     return _submit("farelight-kpis", lambda spark: job.run(spark).show(truncate=False))
 

@@ -17,11 +17,14 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 10 << 20
 
 
-def sized(lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def sized(lookup: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Mark a lookup for broadcast if it is at most so large; else leave it be.
 
-    Bytes are those of the rows as text.
+    Bytes are those of the rows as text. The bounds are ``BROADCAST_ROWS`` and
+    ``BROADCAST_BYTES`` unless given.
     """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
     size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
     rows, size = lookup.limit(max_rows + 1).agg(F.count("*"), size).first()
     return F.broadcast(lookup) if rows <= max_rows and size <= max_bytes else lookup

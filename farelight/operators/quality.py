@@ -188,9 +188,14 @@ def _report_from_profile(
     return report
 
 
-def enforce(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT) -> tuple[int, int]:
+def enforce(
+    df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT, continuity: bool = True
+) -> tuple[int, int]:
     """Raise on the first failing gate: columns, null rates, duplicate ids, continuity.
 
+    Without ``continuity`` gaps between weeks and missing times pass, as they may in a part
+    of the trips.
+
     Gives the number of rows and of those that the row rules keep, from the same scan.
     Brings at most nine report rows to the driver.
     """
@@ -208,7 +213,7 @@ def enforce(df: DataFrame, mode: str = "strict", limit: float = NULL_RATE_LIMIT)
         raise QualityGateError(HIGH_NULLS.format(rates=rates))
     if "duplicate_id" in by_gate:
         raise QualityGateError(REPEATED_IDS)
-    if "week_continuity" in by_gate:
+    if continuity and "week_continuity" in by_gate:
         weeks = by_gate["week_continuity"][0]
         if weeks.bound is None:
             raise QualityGateError(NO_TIMES)

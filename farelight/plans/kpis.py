@@ -18,7 +18,7 @@ from farelight.operators.filters import keep_valid, recency_cutoff, recent_weeks
 from farelight.schemas import DROPOFF, KPI_SCHEMA, PICKUP
 
 WEEK, BOROUGH, HOUR = "week_start", "borough", "hour"
-_SLOT = "slot"
+SLOT = "slot"
 
 
 def trip_ratios(trips: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def trip_ratios(trips: DataFrame) -> DataFrame:
     pickup, dropoff = as_time(PICKUP), as_time(DROPOFF)
     distance = F.col("trip_distance")
     return trips.select(
-        time_slot(pickup).alias(_SLOT),
+        time_slot(pickup).alias(SLOT),
         F.col("PU_Borough").alias(BOROUGH),
         F.col("total_amount").alias("amount"),
         per_mile(minutes_between(pickup, dropoff), distance).alias("minutes_per_mile"),
@@ -40,13 +40,8 @@ def _per_slot(trips: DataFrame, *sums: Column) -> DataFrame:
     All of it adds up, so tasks combine rows before the shuffle, and what is rolled up to
     weeks is 672 rows per week and borough at most, however many trips a borough has.
     """
-    start = slot_start(F.col(_SLOT))
-    return (
-        trip_ratios(trips)
-        .groupBy(_SLOT, BOROUGH)
-        .agg(F.count("*").alias("n_trips"), *sums)
-        .withColumns({WEEK: week_date(start), HOUR: F.hour(start)})
-    )
+    per_slot = trip_ratios(trips).groupBy(SLOT, BOROUGH).agg(F.count("*").alias("n_trips"), *sums)
+    return with_week_and_hour(per_slot)
 
 
 def _night_trips() -> Column:
@@ -108,21 +103,39 @@ def night_share(trips: DataFrame) -> DataFrame:
     return _week_text(per_group.withColumn("night_trip_percentage", share))
 
 
+def slot_sums(trips: DataFrame) -> DataFrame:
+    """What the KPIs are made of, per quarter-hour and borough; it adds up over any parts of the trips."""
+    return (
+        trip_ratios(trips)
+        .groupBy(SLOT, BOROUGH)
+        .agg(
+            F.count("*").alias("n_trips"),
+            F.sum("amount").alias("amount"),
+            F.sum("minutes_per_mile").alias("minutes_sum"),
+            F.count("minutes_per_mile").alias("minutes_n"),
+            F.sum("revenue_per_mile").alias("revenue_sum"),
+            F.count("revenue_per_mile").alias("revenue_n"),
+        )
+    )
+
+
+def with_week_and_hour(per_slot: DataFrame) -> DataFrame:
+    start = slot_start(F.col(SLOT))
+    return per_slot.withColumns({WEEK: week_date(start), HOUR: F.hour(start)})
+
+
 def weekly_metrics(trips: DataFrame, exact: bool = False) -> DataFrame:
     """KPI table from enriched trips.
 
     ``avg_minutes_per_mile`` is cut to whole minutes; ``exact`` adds the uncut mean as
     ``avg_minutes_per_mile_exact``.
     """
-    per_slot = _per_slot(
-        trips,
-        F.sum("amount").alias("amount"),
-        F.sum("minutes_per_mile").alias("minutes_sum"),
-        F.count("minutes_per_mile").alias("minutes_n"),
-        F.sum("revenue_per_mile").alias("revenue_sum"),
-        F.count("revenue_per_mile").alias("revenue_n"),
-    )
-    weekly = per_slot.groupBy(WEEK, BOROUGH).agg(
+    return metrics_of_slots(slot_sums(trips), exact)
+
+
+def metrics_of_slots(sums: DataFrame, exact: bool = False) -> DataFrame:
+    """KPI table from :func:`slot_sums`; a slot may come in several rows, which add up."""
+    weekly = with_week_and_hour(sums).groupBy(WEEK, BOROUGH).agg(
         F.sum("n_trips").alias("total_trips"),
         F.sum("amount").alias("total_revenue"),
         _trips_per_hour().alias("hours"),
@@ -172,10 +185,10 @@ def stage_counts(trips: DataFrame, zones: DataFrame, weeks: int = 4, mode: str =
     enriched = enrich_zones(keep_valid(trips, mode), zones)
     pickup = as_time(PICKUP)
     cutoff = recency_cutoff(enriched, weeks).scalar()
-    per_slot = enriched.groupBy(time_slot(pickup).alias(_SLOT), "PU_Borough").agg(
+    per_slot = enriched.groupBy(time_slot(pickup).alias(SLOT), "PU_Borough").agg(
         F.count("*").alias("enriched"), F.count_if(pickup >= cutoff).alias("recent")
     )
-    per_group = per_slot.groupBy(week_date(slot_start(F.col(_SLOT))), "PU_Borough").agg(
+    per_group = per_slot.groupBy(week_date(slot_start(F.col(SLOT))), "PU_Borough").agg(
         F.sum("enriched").alias("enriched"), F.sum("recent").alias("recent")
     )
     late = per_group.agg(

@@ -29,19 +29,28 @@ def _checked(good: Column, message: Column) -> Column:
     return F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Trip parquet bound to the trip layout; ``trip_id`` is carried along when present.
+def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
+    """Trip parquet, of files or folders, bound to the trip layout; ``trip_id`` is carried along when present.
 
     The scan itself reads the wanted types, so that the files of a folder may differ in
     width and in the kind of their timestamps, and filters still reach the row groups.
     """
-    found = spark.read.parquet(path).schema
+    found = spark.read.parquet(*paths).schema
     names = check_fields(found, TRIP_SCHEMA, case_sensitive(spark))
     wanted = {names[f.name]: f.dataType for f in TRIP_SCHEMA.fields}
     as_read = T.StructType(
         [T.StructField(f.name, as_scanned(f.dataType, wanted.get(f.name, f.dataType)), f.nullable) for f in found.fields]
     )
-    return conform(spark.read.schema(as_read).parquet(path), TRIP_SCHEMA, keep=("trip_id",))
+    return conform(spark.read.schema(as_read).parquet(*paths), TRIP_SCHEMA, keep=("trip_id",))
+
+
+FILES = "path string, length long, modified timestamp"
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, length, modified`` of the parquet files below a path; their contents are not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    return listed.load(path).select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:

@@ -111,6 +111,12 @@ def rounded(*columns: str, digits: int = 4) -> str:
 TO_CLEAN = (TRIPS, CLEAN)
 TO_ENRICHED = (TRIPS, CLEAN, ZONES, ENRICHED)
 TO_KPIS = (*TO_ENRICHED, RECENT, KPIS)
+WHOLE_WEEKS = """
+recent AS (
+  SELECT * FROM enriched
+  WHERE pickup_ts >= (SELECT date_trunc('week', max(pickup_ts)) - INTERVAL 21 DAY FROM enriched)
+)"""
+TO_WHOLE_WEEKS = (*TO_ENRICHED, WHOLE_WEEKS, KPIS)
 
 TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 TRIP_COLUMNS = f"""trip_id, {TIME.format("pickup_ts")} AS pickup, {TIME.format("dropoff_ts")} AS dropoff,
@@ -467,4 +473,13 @@ GROUP BY o_orderpriority""",
     + f"SELECT trip_id FROM sparse WHERE {' AND '.join(f'({r})' for r in RULES.values())}",
     "weekly_kpis_reference": with_(*TO_KPIS) + f"SELECT {KPI_COLUMNS} FROM kpis",
     "weekly_volume_csv": with_(*TO_KPIS) + "SELECT week_start, borough, total_trips FROM kpis",
+    "kpi_incremental": with_(*TO_WHOLE_WEEKS) + f"SELECT {KPI_COLUMNS} FROM kpis",
+    "kpi_stream": with_(*TO_WHOLE_WEEKS) + f"SELECT {KPI_COLUMNS} FROM kpis",
+    "stream_late_trips": with_(*TO_ENRICHED)
+    + """
+SELECT strftime(date_trunc('week', pickup_ts), '%Y-%m-%d') AS week_start, PU_Borough AS borough, count(*) AS n_late
+FROM enriched
+WHERE payment_type IS NULL
+  AND pickup_ts < (SELECT max(pickup_ts) FROM enriched WHERE payment_type IS NOT NULL) - INTERVAL 2 DAY
+GROUP BY ALL""",
 }

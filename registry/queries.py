@@ -11,10 +11,12 @@ from farelight.functions.rules import per_mile
 from farelight.functions.timecols import as_time, minutes_between, year_week
 from farelight.operators import enrich, filters, quality, retail, tables, text
 from farelight.plans import kpis, marts
+from farelight.plans.gold import GoldTable
 from farelight.schemas import DROPOFF, PICKUP
 from farelight.session import pin_utc
 from farelight.sources import readers, writers
 from farelight.streaming import status
+from farelight.streaming.trips import late_trips, stream_trips
 from registry import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -564,3 +566,55 @@ def weekly_volume_csv(spark, sf_dir):
     rows = marts.weekly_volume(adapters.saved_kpis(spark, sf_dir))
     writers.write_csv(rows, path := adapters.saved(rows, "csv"))
     return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+# --- KPI table kept up to date ------------------------------------------------------------
+
+_PARTS = ("payment_type IS NULL", "payment_type = 1", "payment_type > 1")
+
+
+@query
+def kpi_incremental(spark, sf_dir):
+    """KPI table of the last four calendar weeks from three batches of files.
+
+    The trips come in three parts, each spread over all weeks, so the later ones are late
+    everywhere; the sums are compacted in between.
+    """
+    rows = adapters.trips(spark, sf_dir)
+    folder = adapters.saved(rows, "incoming")
+    gold = GoldTable(spark, adapters.saved(rows, "gold"))
+    for n, part in enumerate(_PARTS):
+        rows.filter(part).write.mode("append").parquet(folder)
+        gold.merge_files(folder, adapters.zones(spark, sf_dir))
+        if n == 1:
+            gold.compact()
+    return _rounded(gold.kpis(weeks=4))
+
+
+@query
+def kpi_stream(spark, sf_dir):
+    """KPI table of the last four calendar weeks from a stream of files in no order of time."""
+    rows = adapters.trips(spark, sf_dir)
+    folder, root = adapters.saved(rows, "incoming"), adapters.saved(rows, "gold")
+    for part in _PARTS:
+        rows.filter(part).write.mode("append").parquet(folder)
+    checkpoint = adapters.saved(rows, "offsets")
+    zones = adapters.zones(spark, sf_dir)
+    stream_trips(spark, folder, zones, root, checkpoint, delay="10000 days", max_files=4).awaitTermination()
+    return _rounded(GoldTable(spark, root).kpis(weeks=4))
+
+
+@query
+def stream_late_trips(spark, sf_dir):
+    """Trips per week and borough that a stream finds more than two days late.
+
+    The trips with a known kind of payment come first, those without it after them.
+    """
+    rows = adapters.trips(spark, sf_dir)
+    folder, root = adapters.saved(rows, "incoming"), adapters.saved(rows, "gold")
+    checkpoint, zones = adapters.saved(rows, "offsets"), adapters.zones(spark, sf_dir)
+    for part in ("payment_type IS NOT NULL", "payment_type IS NULL"):
+        rows.filter(part).write.mode("append").parquet(folder)
+        stream_trips(spark, folder, zones, root, checkpoint, delay="2 days").awaitTermination()
+    late = late_trips(spark, root).groupBy("week_start", "borough")
+    return late.agg(F.sum("n_late").alias("n_late"))
