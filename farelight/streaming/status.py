@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from farelight.schemas import KPI_SCHEMA
+from farelight.streaming import outbox
 
 
 def status_events(kpis: DataFrame) -> DataFrame:
@@ -21,19 +22,33 @@ def read_status_events(events: DataFrame) -> DataFrame:
 
 
 def send_status_events(kpis: DataFrame, sink: str = "kafka", **options: str) -> None:
-    """Batch send, e.g. ``sink="kafka"`` with ``kafka.bootstrap.servers`` and ``topic``."""
+    """Batch send, e.g. ``sink="kafka"`` with ``kafka.bootstrap.servers`` and ``topic``, or
+    ``sink="outbox"`` with ``path`` and, to send a batch once however often it is tried, ``batch``."""
+    if sink == outbox.FORMAT:
+        outbox.register(kpis.sparkSession)
     status_events(kpis).write.format(sink).options(**options).mode("append").save()
 
 
 def stream_status_events(
-    spark: SparkSession, kpi_path: str, checkpoint: str, sink: str = "kafka", **options: str
+    spark: SparkSession,
+    kpi_path: str,
+    checkpoint: str,
+    sink: str = "kafka",
+    max_files: int | None = None,
+    **options: str,
 ) -> StreamingQuery:
     """Send what a saved KPI table holds and has not been sent yet, then stop.
 
     The checkpoint remembers the files already sent, so a rerun sends new ones only. The
-    checkpoint has to be on storage that all executors share.
+    checkpoint has to be on storage that all executors share. A sink of files or an
+    ``outbox`` gets each event once; a broker may get those of a batch that failed again.
     """
-    rows = spark.readStream.schema(KPI_SCHEMA).parquet(kpi_path)
+    if sink == outbox.FORMAT:
+        outbox.register(spark)
+    source = spark.readStream.schema(KPI_SCHEMA)
+    if max_files:
+        source = source.option("maxFilesPerTrigger", max_files)
+    rows = source.parquet(kpi_path)
     return (
         status_events(rows)
         .writeStream.format(sink)

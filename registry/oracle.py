@@ -482,4 +482,6 @@ FROM enriched
 WHERE payment_type IS NULL
   AND pickup_ts < (SELECT max(pickup_ts) FROM enriched WHERE payment_type IS NOT NULL) - INTERVAL 2 DAY
 GROUP BY ALL""",
+    "status_events_once": with_(*TO_KPIS)
+    + f"SELECT week_start || '|' || borough AS key, {KPI_COLUMNS} FROM kpis",
 }

@@ -15,7 +15,7 @@ from farelight.plans.gold import GoldTable
 from farelight.schemas import DROPOFF, PICKUP
 from farelight.session import pin_utc
 from farelight.sources import readers, writers
-from farelight.streaming import status
+from farelight.streaming import outbox, status
 from farelight.streaming.trips import late_trips, stream_trips
 from registry import adapters
 
@@ -618,3 +618,20 @@ def stream_late_trips(spark, sf_dir):
         stream_trips(spark, folder, zones, root, checkpoint, delay="2 days").awaitTermination()
     late = late_trips(spark, root).groupBy("week_start", "borough")
     return late.agg(F.sum("n_late").alias("n_late"))
+
+
+@query
+def status_events_once(spark, sf_dir):
+    """KPI rows streamed into an outbox, one file at a time, and again after a batch was lost.
+
+    The offsets are forgotten in between, so the whole stream is sent twice under the same
+    batch numbers; the events are there once.
+    """
+    rows = adapters.kpis(spark, sf_dir)
+    table = writers.write_kpis(rows, adapters.saved(rows, "out"))
+    box = adapters.saved(rows, "outbox")
+    for _ in range(2):
+        offsets = adapters.saved(rows, "offsets")
+        sent = status.stream_status_events(spark, table, offsets, outbox.FORMAT, max_files=1, path=box)
+        sent.awaitTermination()
+    return _rounded(status.read_status_events(outbox.read_messages(spark, box)))
