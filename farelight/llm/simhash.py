@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from farelight.llm.common import map_rows
 from farelight.llm.components import components
+from farelight.llm.rows import BLOCK, PLACE, keep_rows, write_rows
 from farelight.session import written
 
 SHINGLE = 4
@@ -55,15 +56,19 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > last).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, fp`` (a signed long) of each row; a null text counts as empty."""
+def fingerprints(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, fp`` (a signed long) of each row and columns carried along; a null text counts as empty."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+        columns = [batch.column(0), pa.array(found), *batch.columns[2:]]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *carried])
 
-    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_rows(ids, "doc_id long, fp long", work)
+    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *carried)
+    more = "".join(f", {c} {kind}" for c, kind in docs.select(*carried).dtypes) if carried else ""
+    return map_rows(ids, f"doc_id long, fp long{more}", work)
 
 
 def _rotated(fps: np.ndarray, first: int) -> np.ndarray:
@@ -183,28 +188,33 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     looked at, whatever their names.
     """
     marked = written(fingerprints(docs, text, doc_id), "fingerprints")
+    return marked.join(_components_of(marked), "fp").select("doc_id", "fp", "component", "component_id")
+
+
+def _components_of(marked: DataFrame) -> DataFrame:
+    """``fp, component, component_id`` of each distinct fingerprint, written."""
     per_fp = written(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     found = written(components(links(per_fp)), "components")
     named = per_fp.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component")
     )
     least = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    per_fp = written(named.select("fp", "component").join(least, "component"), "named")
-    return marked.join(per_fp, "fp").select("doc_id", "fp", "component", "component_id")
+    return written(named.select("fp", "component").join(least, "component"), "named")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does.
+    """The rows of ``docs`` that stay when one row of each component does.
+
+    It is one with the smallest ``doc_id`` of the component. Rows of the same id are judged
+    by their texts: unrelated ones stay, each in its own component. Rows without an id
+    cannot be named, so all of them stay. No rows give no rows.
 
-    It is the one with the smallest ``doc_id``; of rows that repeat this id, any one. Rows
-    without an id cannot be named, so all of them stay.
+    The rows are written once with their place, and the choice comes back by place, so that
+    texts are never shuffled.
     """
-    found = near_duplicates(docs, text, doc_id).filter("doc_id = component_id")
-    keep = written(found.groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    stay = keep.select("doc_id")
-    named = docs.join(stay, docs[doc_id].cast("long") == stay["doc_id"], "left_semi")
-    if not keep.filter("n > 1").isEmpty():
-        named = named.dropDuplicates([doc_id])
-    if docs.filter(F.col(doc_id).isNull()).isEmpty():
-        return named
-    return named.unionByName(docs.filter(F.col(doc_id).isNull()))
+    rows = write_rows(docs, text)
+    marked = written(fingerprints(rows, text, doc_id, (BLOCK, PLACE)), "fingerprints")
+    named = marked.filter("doc_id is not null").join(_components_of(marked).select("fp", "component"), "fp")
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", BLOCK, PLACE)).alias("first"))
+    unnamed = marked.filter("doc_id is null").select(BLOCK, PLACE)
+    return keep_rows(rows, first.select(f"first.{BLOCK}", f"first.{PLACE}").union(unnamed))

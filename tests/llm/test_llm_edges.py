@@ -193,3 +193,29 @@ def test_pipeline_writes_token_ids(spark):
         assert data == (texts[r.doc_id] or "").encode() and r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(r.ids.encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(data).hexdigest()
+
+
+def test_unrelated_rows_of_one_id_stay(spark):
+    """Of near copies one row stays; rows that share only their id are not taken for copies."""
+    texts = [" ".join(f"{w}{i * k % 97}" for i in range(60)) for k, w in ((1, "a"), (2, "b"), (3, "c"))]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (2, texts[2]), (3, texts[0]), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = [tuple(r) for r in simhash.drop_near_duplicates(docs).collect()]
+    expected = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, texts[0])]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_near_duplicates_leave_texts_where_they_are(spark, monkeypatch):
+    """Rows in blocks of several partitions come back as chosen, and no text is shuffled."""
+    from farelight.llm import rows
+
+    monkeypatch.setattr(rows, "BUCKET_BYTES", 1000)
+    docs = spark.range(0, 100_000, 1, 3).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 20).alias("text"))
+    written = rows.write_rows(docs, "text")
+    chosen = written.filter("doc_id % 7 = 3").select(rows.BLOCK, rows.PLACE)
+    kept = rows.keep_rows(written, chosen)
+    assert kept.columns == ["doc_id", "text"]
+    assert [r.doc_id for r in kept.orderBy("doc_id").select("doc_id").collect()] == [i for i in range(100_000) if i % 7 == 3]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("text#") and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    assert all("text" not in line for line in plan.splitlines() if "Exchange" in line)
