@@ -53,10 +53,12 @@ def tokens(text: str | None) -> list[str]:
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments ``(start, end, score)``, end exclusive, in linear time.
 
-    Each candidate keeps the sum before it and up to its end. A new positive score is
-    merged with the nearest earlier candidate that starts lower, as long as that pays.
+    Each candidate keeps the sum before it and up to its end, and the place of the nearest
+    earlier candidate that starts lower, so that those between the two are never looked at
+    again. A new positive score is merged with the nearest earlier candidate that starts
+    lower, as long as that pays.
     """
-    found: list[list[float]] = []  # start, end, sum before, sum up to the end
+    found: list[list[float]] = []  # start, end, sum before, sum up to the end, place of the lower one
     total = 0.0
     for at, score in enumerate(scores):
         if score <= 0:
@@ -64,16 +66,16 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
             continue
         new = [at, at + 1, total, total + score]
         total += score
-        while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
-                break
+        j = len(found) - 1
+        while j >= 0 and found[j][2] >= new[2]:
+            j = found[j][4]
+        while j >= 0 and found[j][3] < new[3]:
             new = [found[j][0], new[1], found[j][2], new[3]]
+            lower = found[j][4]
             del found[j:]
-    return [(int(a), int(b), upto - before) for a, b, before, upto in found]
+            j = lower
+        found.append([*new, j])
+    return [(int(a), int(b), upto - before) for a, b, before, upto, _ in found]
 
 
 @dataclass(frozen=True)
