@@ -23,10 +23,10 @@ from farelight.llm.common import map_rows, sha256_hex
 
 #: Pieces in one recursive query, pieces remembered by a worker (twice that at most), and
 #: the length in bytes from which a piece is contracted at all places of a pair at once.
-PIECES_AT_ONCE = 20_000
-REMEMBERED = 250_000
+PIECES_AT_ONCE = 8_000
+REMEMBERED = 150_000
 LONG_PIECE = 64
-_DUCKDB = {"threads": 1, "memory_limit": "400MB"}
+_DUCKDB = {"threads": 1, "memory_limit": "250MB"}
 
 # One leftmost contraction per piece and round; pieces without a pair end there. A piece is
 # kept as a list between rounds and laid out as token-position rows for the join.
@@ -123,6 +123,7 @@ class Encoder:
         vocabulary = pa.table({"id": list(ranks.values()), "hex": [t.hex() for t in ranks]})  # noqa: F841
         self.db.execute("create table merges as select l::int l, r::int r, t::int t, solo from merges")
         self.db.execute("create table vocabulary as select id::int id, hex from vocabulary")
+        self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
         self.young: dict[str, tuple[str, int, bytes]] = {}
         self.old: dict[str, tuple[str, int, bytes]] = {}
@@ -150,7 +151,9 @@ class Encoder:
             part = new[at : at + PIECES_AT_ONCE]
             data = [p.encode() for p in part]
             whole = {p: d for p, d in zip(part, data, strict=True) if d in self.ranks}
-            found.update({p: (str(self.ranks[d]), 1, d) for p, d in whole.items()})
+            # One token, which is its own fixpoint; it is decoded from its id like the others.
+            tokens = {p: self.ranks[d] for p, d in whole.items()}
+            found.update({p: (str(token), 1, self.token_bytes[token]) for p, token in tokens.items()})
             for query, long in ((_SHORT + _LAST_OF_SHORT, False), (_LONG + _LAST_OF_LONG, True)):
                 rest = [
                     (p, d) for p, d in zip(part, data, strict=True) if p not in whole and (len(d) >= LONG_PIECE) == long
