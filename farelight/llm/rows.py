@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from farelight.session import scratch_path
 
-#: Rows of a block at most: the bits of one bitmap of Spark's.
-BLOCK_ROWS = 1 << 15
+#: Binary logarithm of the rows of a block; a bitmap of Spark's has 32,768 bits.
+BLOCK_BITS = 12
 #: Bytes of text per bucket, about.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 12 << 20
 BLOCK, PLACE = "_block", "_place"
 
 
@@ -28,11 +28,13 @@ def write_rows(df: DataFrame, text: str) -> DataFrame:
     # Partition number above, row number in the partition below.
     number = F.monotonically_increasing_id()
     numbered = df.withColumn(BLOCK, number).select(
-        "*", F.col(BLOCK).bitwiseAND(BLOCK_ROWS - 1).cast("int").alias(PLACE)
+        "*", F.col(BLOCK).bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias(PLACE)
     )
-    numbered = numbered.withColumn(BLOCK, F.shiftright(BLOCK, 15))
+    numbered = numbered.withColumn(BLOCK, F.shiftright(BLOCK, BLOCK_BITS))
     name, path = f"farelight_{uuid.uuid4().hex}", scratch_path(spark, "rows")
-    buckets = int(max(8, size // BUCKET_BYTES + 1))
+    # With fewer buckets than a shuffle has partitions Spark would rather move the rows.
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(max(8, shuffled, size // BUCKET_BYTES + 1))
     writer = numbered.write.format("parquet").bucketBy(min(buckets, _most(spark)), BLOCK)
     writer.option("path", path).saveAsTable(name)
     return spark.table(name)

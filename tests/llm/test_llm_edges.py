@@ -205,11 +205,14 @@ def test_unrelated_rows_of_one_id_stay(spark):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
-def test_near_duplicates_leave_texts_where_they_are(spark, monkeypatch):
+@pytest.mark.parametrize("partitions", [3, 40])
+def test_near_duplicates_leave_texts_where_they_are(spark, monkeypatch, partitions):
     """Rows in blocks of several partitions come back as chosen, and no text is shuffled."""
     from farelight.llm import rows
 
-    monkeypatch.setattr(rows, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(rows, "BLOCK_BITS", 9)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     docs = spark.range(0, 100_000, 1, 3).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 20).alias("text"))
     written = rows.write_rows(docs, "text")
     chosen = written.filter("doc_id % 7 = 3").select(rows.BLOCK, rows.PLACE)
@@ -218,4 +221,7 @@ def test_near_duplicates_leave_texts_where_they_are(spark, monkeypatch):
     assert [r.doc_id for r in kept.orderBy("doc_id").select("doc_id").collect()] == [i for i in range(100_000) if i % 7 == 3]
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("text#") and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
-    assert all("text" not in line for line in plan.splitlines() if "Exchange" in line)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    text = next(line for line in plan.splitlines() if "FileScan" in line and "text#" in line)
+    assert "Bucketed: true" in text
+    assert "BucketedScan" not in text and "disabled" not in text
