@@ -484,4 +484,16 @@ WHERE payment_type IS NULL
 GROUP BY ALL""",
     "status_events_once": with_(*TO_KPIS)
     + f"SELECT week_start || '|' || borough AS key, {KPI_COLUMNS} FROM kpis",
+    "gate_repeated_ids": union(
+        [
+            f"SELECT '{source}' AS source, '{keys.replace(' ', '')}' AS key_columns, "
+            f"EXISTS (SELECT 1 FROM {table} GROUP BY {columns} HAVING count(*) > 1) AS repeated"
+            for source, table, keys, columns in (
+                ("trips", "events", "trip_id", "event_id"),
+                ("orders", "orders", "o_orderkey", "o_orderkey"),
+                ("lines", "lineitem", "l_orderkey", "l_orderkey"),
+                ("pairs", "lineitem", "l_orderkey, l_linenumber", "l_orderkey, l_linenumber"),
+            )
+        ]
+    ),
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -635,3 +635,17 @@ def status_events_once(spark, sf_dir):
         sent = status.stream_status_events(spark, table, offsets, outbox.FORMAT, max_files=1, path=box)
         sent.awaitTermination()
     return _rounded(status.read_status_events(outbox.read_messages(spark, box)))
+
+
+@query
+def gate_repeated_ids(spark, sf_dir):
+    """Whether ids repeat: trips and orders by bitmaps, order lines by number and by pair."""
+    lines = adapters.table(spark, sf_dir, "lineitem")
+    frames = {
+        "trips": (adapters.trips(spark, sf_dir), ("trip_id",)),
+        "orders": (adapters.orders(spark, sf_dir), ("o_orderkey",)),
+        "lines": (lines, ("l_orderkey",)),
+        "pairs": (lines, ("l_orderkey", "l_linenumber")),
+    }
+    reports = [quality.repeated_key_report(*f).withColumn("source", F.lit(name)) for name, f in frames.items()]
+    return reduce(DataFrame.unionByName, reports)
