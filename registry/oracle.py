@@ -183,6 +183,16 @@ METRICS = (
 
 WORDS = "SELECT lower(unnest(regexp_extract_all(text, '[A-Za-z0-9_]+'))) AS word FROM documents"
 
+LINE_NUMBERS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+)
+
+ORDER_VALUES = {
+    "o_custkey": "o_custkey::DOUBLE",
+    "price": "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END",
+    "nothing": "CAST(NULL AS DOUBLE)",
+}
+
 ORACLE: dict[str, str] = {
     # sources
     "scan_trips": with_(TRIPS) + f"SELECT {TRIP_COLUMNS} FROM trips",
@@ -419,6 +429,14 @@ GROUP BY "char" ORDER BY count(*) DESC, "char" LIMIT 10""",
 SELECT source, count(*) AS n_texts, CAST(sum(length(text)) AS BIGINT) AS n_chars,
        CAST(sum(len(regexp_extract_all(text, '\r\n|\r|\n')) +
                 CASE WHEN text <> '' AND right(text, 1) NOT IN (chr(10), chr(13)) THEN 1 ELSE 0 END) AS BIGINT) AS n_lines
+FROM documents GROUP BY source""",
+    "top_words": f'SELECT word, count(*) AS "count" FROM ({WORDS}) GROUP BY word ORDER BY count(*) DESC, word LIMIT 20',
+    "rare_top_customers": """
+SELECT o_custkey, count(*) AS "count" FROM orders WHERE o_custkey IS NOT NULL
+GROUP BY o_custkey ORDER BY count(*) DESC, o_custkey LIMIT 10""",
+    "text_stats_by_file": r"""
+SELECT source, CAST(sum(length(coalesce(text, '')) + 1) AS BIGINT) AS n_chars,
+       CAST(sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1) AS BIGINT) AS n_lines
 FROM documents GROUP BY source""",
     # retail
     "retail_high_value": with_(RETAIL)
@@ -429,6 +447,23 @@ FROM documents GROUP BY source""",
 SELECT strftime(o_orderdate, '%b') AS month, strftime(o_orderdate, '%y') AS year,
        round(avg(o_totalprice), 4) AS avg_amount FROM orders GROUP BY ALL""",
     # tables
+    "describe_lines": union(
+        [
+            f"SELECT '{m}' AS metric, count({m}) AS n, round(avg({m}), 3) AS mean, "
+            f"round(stddev_samp({m}), 3) AS std, round(min({m})::DOUBLE, 3) AS min, "
+            + ", ".join(f"round(quantile_cont({m}::DOUBLE, {q / 100}), 3) AS q{q}" for q in (25, 50, 75))
+            + f", round(max({m})::DOUBLE, 3) AS max FROM lineitem"
+            for m in LINE_NUMBERS
+        ]
+    ),
+    "column_quantiles": union(
+        [
+            f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS probability, "
+            f"round(quantile_cont({value}, {p}), 3) AS quantile FROM orders"
+            for c, value in ORDER_VALUES.items()
+            for p in (0.0, 0.001, 0.5, 0.99, 1.0)
+        ]
+    ),
     "names_by_key": "SELECT c_name AS name FROM customer WHERE c_mktsegment = 'BUILDING'",
     "names_by_flag": "SELECT s_name AS name FROM supplier WHERE s_acctbal > 0",
     "totals_by_key": "SELECT c_nationkey, count(*) AS total FROM customer GROUP BY c_nationkey",

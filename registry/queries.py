@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from farelight.functions.rules import per_mile
 from farelight.functions.timecols import as_time, minutes_between, year_week
-from farelight.operators import enrich, filters, quality, retail, tables, text
+from farelight.operators import describe, enrich, filters, quality, retail, tables, text
 from farelight.plans import kpis, marts
 from farelight.plans.gold import GoldTable
 from farelight.schemas import DROPOFF, PICKUP
@@ -412,6 +412,32 @@ def text_stats(spark, sf_dir):
     return text.text_stats(adapters.table(spark, sf_dir, "documents"), "source", "text")
 
 
+@query
+def top_words(spark, sf_dir):
+    """The twenty most frequent words."""
+    return text.top_words(adapters.table(spark, sf_dir, "documents"), 20, "text")
+
+
+@query
+def rare_top_customers(spark, sf_dir):
+    """The ten customers with most orders, among keys too even for a small sketch."""
+    keys = adapters.orders(spark, sf_dir).select("o_custkey")
+    return text.most_frequent(keys, 10, "o_custkey", tracked=64)
+
+
+@query
+def text_stats_by_file(spark, sf_dir):
+    """Characters and lines of text files, a folder for each source, summed by folder.
+
+    Each text is a line or several, and each file ends in a line feed.
+    """
+    docs = adapters.table(spark, sf_dir, "documents").select("source", F.coalesce("text", F.lit("")).alias("text"))
+    docs.write.partitionBy("source").text(path := adapters.saved(docs, "texts"))
+    source = F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source")
+    files = text.file_stats(spark, path)
+    return files.groupBy(source).agg(F.sum("n_chars").alias("n_chars"), F.sum("n_lines").alias("n_lines"))
+
+
 # --- retail ------------------------------------------------------------------
 
 
@@ -533,6 +559,23 @@ def avg_score_for_ids(spark, sf_dir):
     return _rounded(tables.average_for_ids(scores, ids, "id", "c_acctbal", 5000))
 
 
+@query
+def describe_lines(spark, sf_dir):
+    """Count, mean, deviation, minimum, quartiles and maximum of the numbers of all order lines."""
+    return _rounded(describe.describe(adapters.table(spark, sf_dir, "lineitem")), 3)
+
+
+@query
+def column_quantiles(spark, sf_dir):
+    """Tails and medians of three columns, of which one lacks values and one has none."""
+    rows = adapters.orders(spark, sf_dir).select(
+        "o_custkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price"),
+        F.lit(None).cast("double").alias("nothing"),
+    )
+    return _rounded(describe.column_quantiles(rows, rows.columns, [0.0, 0.001, 0.5, 0.99, 1.0], accuracy=1000), 3)
+
+
 @query
 def median_with_missing(spark, sf_dir):
     """Median and maximum per priority, of which one has no value and the others lack some."""
