@@ -11,7 +11,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from farelight.operators.filters import parse_weeks
 from farelight.operators.quality import enforce, valid_trips
@@ -57,11 +57,14 @@ class KpiJob:
         n_raw, n_clean = enforce(raw, self.mode)
         log.info("trips, raw rows=%d, clean rows=%d", n_raw, n_clean)
         trips = valid_trips(raw, self.mode)
-        path = write_kpis(calculate_kpis(trips, zones, self.weeks, self.align_to_week), self.out, self.by_week)
+        # Counted by the tasks that write, where each counts once however often it is tried.
+        sent = Observation("kpis")
+        kpis = calculate_kpis(trips, zones, self.weeks, self.align_to_week)
+        path = write_kpis(kpis.observe(sent, F.count(F.lit(1)).alias("n_rows")), self.out, self.by_week)
         saved = read_kpis(spark, path)
         if self.weekly_metrics:
             write_parquet(weekly_volume(saved), child(self.out, "weekly_metrics"))
-        log.info("KPIs saved to %s, rows=%d", path, saved.count())
+        log.info("KPIs saved to %s, rows=%d", path, sent.get["n_rows"])
         return saved
 
 

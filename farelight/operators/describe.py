@@ -45,7 +45,8 @@ def column_quantiles(
     below the brackets, and a third keeps the distinct values inside them, about
     ``4 / accuracy`` of the rows, which are put in order across tasks. Nothing else is
     shuffled, and the driver gets a few numbers for each column and probability. The result
-    is exact; a bracket that did not hold its ranks would fail the query.
+    is exact; a bracket that did not hold its ranks would fail the query. Columns with at most
+    ``2 * accuracy`` values need no brackets: one aggregate holds all of those.
 
     Nulls are left out, NaN is the largest value, and a column without values has null
     quantiles.
@@ -108,16 +109,13 @@ def _sketched(
 
 
 def _brackets(found: Row, probabilities: Sequence[float], accuracy: int) -> list[_Bracket]:
-    brackets = []
+    """For the columns with so many values that the slack is at least four ranks."""
     slack = 2.0 / accuracy
+    brackets = []
     for i, stats in enumerate(found):
-        for k, p in enumerate(probabilities):
-            if not stats.n:
-                continue
-            # Below this size the slack would be less than a few ranks.
-            small = stats.n <= 2 * accuracy
-            from_minimum, to_maximum = small or p <= slack, small or p >= 1 - slack
-            high = stats.max if to_maximum else stats.edges[k + len(probabilities)]
+        for k, p in enumerate(probabilities if stats.n > 2 * accuracy else []):
+            from_minimum = p <= slack
+            high = stats.max if p >= 1 - slack else stats.edges[k + len(probabilities)]
             rank = int((stats.n - 1) * p)
             brackets.append(
                 _Bracket(
@@ -134,6 +132,18 @@ def _brackets(found: Row, probabilities: Sequence[float], accuracy: int) -> list
     return brackets
 
 
+def _direct(rows: DataFrame, few: Sequence[int], probabilities: Sequence[float]) -> DataFrame:
+    """For columns whose values fit in one aggregation buffer."""
+    levels = F.array(*[F.lit(p) for p in probabilities])
+    one = rows.agg(*[F.percentile(f"v{i}", levels).alias(f"q{i}") for i in few])
+    entries = [
+        F.struct(F.lit(i).alias("_i"), F.lit(p).alias("probability"), F.col(f"q{i}")[k].alias("quantile"))
+        for i in few
+        for k, p in enumerate(probabilities)
+    ]
+    return one.select(F.inline(F.array(*entries)))
+
+
 def _below(rows: DataFrame, brackets: Sequence[_Bracket]) -> list[int]:
     """How many values lie below each bracket; one pass, and none if all begin at the minimum."""
     asked = [k for k, b in enumerate(brackets) if not b.from_minimum]
@@ -161,9 +171,20 @@ def _quantiles(
         )
     )
     # One row, with a few numbers for each column.
-    brackets = _brackets(sketch.first(), probabilities, accuracy)
-    if not brackets:
+    stats = sketch.first()
+    few = [i for i, s in enumerate(stats) if 0 < s.n <= 2 * accuracy]
+    brackets = _brackets(stats, probabilities, accuracy)
+    parts = [_direct(rows, few, probabilities)] if few else []
+    parts += [_bracketed(rows, brackets)] if brackets else []
+    if not parts:
         return wanted.select("column", "probability", F.lit(None).cast("double").alias("quantile"))
+    # One row per column and probability is broadcast.
+    found = F.broadcast(reduce(DataFrame.unionByName, parts))
+    return wanted.join(found, ["_i", "probability"], "left").select("column", "probability", "quantile")
+
+
+def _bracketed(rows: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
+    """For columns of any size: ``_i, probability, quantile``."""
     below = _below(rows, brackets)
 
     entries = [
@@ -203,5 +224,4 @@ def _quantiles(
     # Infinite values have no difference, so both ends are weighted, and only if they differ.
     quantile = F.when((part == 0) | (low == high), low).otherwise((1 - part) * low + part * high)
     error = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-    found = ends.select("_i", "probability", F.when(missed, error).otherwise(quantile).alias("quantile"))
-    return wanted.join(F.broadcast(found), ["_i", "probability"], "left").select("column", "probability", "quantile")
+    return ends.select("_i", "probability", F.when(missed, error).otherwise(quantile).alias("quantile"))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from farelight.functions.rules import percentage
 from farelight.functions.timecols import hour_range
-from farelight.operators.describe import describe as describe_columns
 
 TOP = 10
 
@@ -182,11 +182,34 @@ def weekly_trend(kpis: DataFrame) -> DataFrame:
 
 
 def describe(kpis: DataFrame) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column.
+    """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column.
 
-    Long and double columns only, so the 32-bit ``peak_hour`` is left out.
+    Long and double columns only, so the 32-bit ``peak_hour`` is left out. The quartiles
+    are exact: the KPI table has few rows, weeks times boroughs. For a table of any size
+    there is :func:`farelight.operators.describe.describe`.
     """
-    return describe_columns(kpis)
+    numeric = [f.name for f in kpis.schema.fields if isinstance(f.dataType, (T.LongType, T.DoubleType))]
+    long_form = kpis.select([F.col(c).cast("double") for c in numeric]).unpivot([], numeric, "metric", "value")
+    quartiles = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    stats = long_form.groupBy("metric").agg(
+        F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        quartiles.alias("q"),
+        F.max("value").alias("max"),
+    )
+    return stats.select(
+        "metric",
+        "n",
+        "mean",
+        "std",
+        "min",
+        F.col("q")[0].alias("q25"),
+        F.col("q")[1].alias("q50"),
+        F.col("q")[2].alias("q75"),
+        "max",
+    )
 
 
 def listing(kpis: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from farelight.operators.tables import median_and_maximum
 from farelight.plans import marts
 from farelight.schemas import TRIP_SCHEMA, AmbiguousColumnsError, MissingColumnsError, conform
 from farelight.sources import readers
-from tests.frames import kpi_trips as trip_rows
+from tests.frames import kpi_trips as trip_rows, zones
 
 INF, NAN = math.inf, math.nan
 
@@ -85,8 +85,8 @@ def test_malformed_rows_cannot_be_overlooked(spark, tmp_path):
     for action in (retail.select("customerId").collect, retail.count):
         with pytest.raises(Exception, match="Malformed line: CS2"):
             action()
-    zones = tmp_path / "zones.csv"
-    zones.write_text("LocationID,Borough,Zone,service_zone\n1,Queens,a,s\n2x,Queens,b,s\n")
+    lookup = tmp_path / "zones.csv"
+    lookup.write_text("LocationID,Borough,Zone,service_zone\n1,Queens,a,s\n2x,Queens,b,s\n")
     with pytest.raises(Exception, match="Malformed zone id: 2x"):
         readers.read_zones(spark, str(zones)).select("Borough").collect()
 
@@ -103,9 +103,27 @@ def test_job_logs_rows(spark, tmp_path, caplog):
     from farelight.job import KpiJob
 
     trip_rows(spark).write.parquet(str(tmp_path / "t"))
-    zones = tmp_path / "zones.csv"
-    zones.write_text("LocationID,Borough,Zone,service_zone\n1,Manhattan,a,s\n2,Queens,b,s\n3,Brooklyn,c,s\n")
+    lookup = tmp_path / "zones.csv"
+    lookup.write_text("LocationID,Borough,Zone,service_zone\n1,Manhattan,a,s\n2,Queens,b,s\n3,Brooklyn,c,s\n")
     with caplog.at_level(logging.INFO):
-        KpiJob(str(tmp_path / "t"), str(zones), str(tmp_path / "out")).run(spark)
+        KpiJob(str(tmp_path / "t"), str(lookup), str(tmp_path / "out")).run(spark)
     said = " ".join(r.getMessage() for r in caplog.records)
     assert "zones, rows=3" in said and "raw rows=3, clean rows=3" in said and "rows=2" in said
+
+
+@pytest.mark.parametrize("by_week", [False, True])
+def test_job_counts_kpi_rows_where_it_writes_them(spark, tmp_path, caplog, monkeypatch, by_week):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from farelight.job import KpiJob
+
+    trip_rows(spark).write.parquet(str(tmp_path / "t"))
+    zones(spark).write.option("header", True).csv(str(tmp_path / "z"))
+    counted, count = [], Classic.count
+    monkeypatch.setattr(Classic, "count", lambda df: counted.append(df.columns) or count(df))
+    job = KpiJob(str(tmp_path / "t"), str(tmp_path / "z"), str(tmp_path / "out"), align_to_week=by_week, by_week=by_week)
+    with caplog.at_level("INFO", "farelight"):
+        saved = job.run(spark)
+    assert "total_trips" not in sum(counted, [])
+    monkeypatch.undo()
+    assert f"rows={saved.count()}" in caplog.messages[-1] and saved.count() == 2
