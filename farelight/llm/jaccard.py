@@ -8,7 +8,8 @@ posted once; equal sets are one class. A posting list is the groups that share a
 shingle; groups alone on all of their lists are done.
 
 The other lists, and the groups with several classes, are expanded to classes. Pairs on a
-list are filtered by size and position and verified on whole sets. As links are wanted up
+list are filtered by size, by position, and by a bit string of each set whose distance can
+not be more than that of the sets; what is left is verified on whole sets. As links are wanted up
 to what they connect, pairs of classes that are known to be connected are not looked at:
 first each list pairs its members with one pivot, in ``ROUNDS`` rounds, and only then all
 pairs that are still apart on some list. So a cloud of near copies costs about as many
@@ -85,6 +86,21 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - (PERCENT * n + 99) // 100 + np.minimum(n, 1)
 
 
+def parities(hashes: np.ndarray, doc: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bit string for each set, in 64-bit words, and where each begins among the words.
+
+    A set of ``n`` has the least power of two of bits that is ``n`` or more, 64 at least; a
+    shingle turns over the bit at its hash. So two strings of the same length differ in no
+    more bits than the sets differ in shingles, and xor of the two halves of a string is the
+    string of half the length. Sets that are similar in size differ by one such step at most.
+    """
+    size = 1 << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64)
+    begin = np.cumsum(size) - size
+    at = begin[doc] + (hashes & (size - 1).astype(np.uint64)[doc]).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(size.sum())) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8"), np.append(begin, size.sum()) // 64
+
+
 def _rarest_first(hashes: np.ndarray, doc: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of each document in the global order, and the place of each in its document."""
     order = np.lexsort((hashes, counts[_counter(hashes)], doc))
@@ -122,7 +138,7 @@ def _count_shingles(blocks: DataFrame) -> np.ndarray:
 
 _MARKED = (
     "block long, at int, doc_id long, n long, g long, c1 long, c2 long, "
-    "posted array<struct<token: long, pos: int>>"
+    "bits array<long>, posted array<struct<token: long, pos: int>>"
 )
 
 
@@ -157,14 +173,16 @@ def _mark(blocks: DataFrame) -> DataFrame:
             both = xxhash.xxh3_128_digest(np.sort(hashes[s:e]).tobytes())
             one.append(int.from_bytes(both[:8], "big", signed=True))
             two.append(int.from_bytes(both[8:], "big", signed=True))
+        words, begins = parities(hashes, doc, n)
+        bits = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(words))
         at = np.flatnonzero(shared)
         offsets = np.searchsorted(doc[at], np.arange(len(n) + 1))
         pairs = pa.StructArray.from_arrays([pa.array(signed[at]), pa.array(pos[at].astype(np.int32))], names=["token", "pos"])
         posted = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
         ids = pa.array(block.ids, mask=block.ids == NO_ID)
         columns = [pa.array(np.full(len(n), block.number)), pa.array(np.arange(len(n), dtype=np.int32)), ids]
-        columns += [pa.array(n.astype(np.int64)), *[pa.array(x, pa.int64()) for x in (group, one, two)], posted]
-        return pa.RecordBatch.from_arrays(columns, names=["block", "at", "doc_id", "n", "g", "c1", "c2", "posted"])
+        columns += [pa.array(n.astype(np.int64)), *[pa.array(x, pa.int64()) for x in (group, one, two)], bits, posted]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "at", "doc_id", "n", "g", "c1", "c2", "bits", "posted"])
 
     asked = each_block(blocks, QUESTION, ask)
     found = answers(asked, lambda _, packed: meet_hashes(_, packed), "shared")
@@ -194,10 +212,27 @@ def _may_link(n: Column, pos: Column, m: Column, other_pos: Column) -> Column:
     return sizes & ((100 + PERCENT) * left >= PERCENT * (n + m))
 
 
+def _halved(bits: Column, like: Column) -> Column:
+    """A bit string brought to the length of another that is as long or half as long."""
+    half = F.size(like)
+    halves = F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(bits) > half, halves).otherwise(bits)
+
+
+def _near_in_bits(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of pairs ``a, b`` those whose bit strings do not differ in more bits than similar sets can."""
+    sides = [classes.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("home.bits").alias(f"{s}_bits")) for s in "ab"]
+    both = pairs.join(sides[1], "b").join(sides[0], "a")
+    a, b, total = F.col("a_bits"), F.col("b_bits"), F.col("a_n") + F.col("b_n")
+    unlike = F.zip_with(_halved(a, b), _halved(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    bits = F.aggregate(unlike, F.lit(0), lambda x, y: x + y)
+    return both.filter((100 + PERCENT) * (total - bits) >= 2 * PERCENT * total).select("a", "b")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, blocks: DataFrame) -> DataFrame:
     """Of pairs ``a, b`` those whose whole sets are similar enough."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _sets(blocks, nodes.join(classes.select("node", "home.*"), "node"))
+    sets = _sets(blocks, nodes.join(classes.select("node", "home.block", "home.at"), "node"))
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -286,7 +321,7 @@ def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     blocks = write_blocks(docs, text, doc_id)
     marked = _mark(blocks)
     classes = marked.filter("n > 0").groupBy("c1", "c2", "n", "g").agg(
-        F.min("doc_id").alias("low"), F.min(F.struct("block", "at")).alias("home")
+        F.min("doc_id").alias("low"), F.min(F.struct("block", "at", "bits")).alias("home")
     )
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     lists = _lists(marked, classes)
@@ -295,7 +330,8 @@ def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     for turn in range(ROUNDS + 1):
         lists = _apart(lists, links, f"apart{turn}")
         pairs = _with_pivot(lists, turn) if turn < ROUNDS else _still_apart(lists)
-        found = written(_verified(written(pairs, "pairs"), classes, blocks), "links")
+        pairs = written(_near_in_bits(pairs, classes), "pairs")
+        found = written(_verified(pairs, classes, blocks), "links")
         links = found if links is None else links.union(found)
 
     found = written(components(links), "components")
