@@ -108,8 +108,18 @@ def _rarest_first(hashes: np.ndarray, doc: np.ndarray, counts: np.ndarray) -> tu
     return hashes[order], np.arange(len(doc)) - first[doc]
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts, all in as many bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def unpack_counts(packed: bytes) -> np.ndarray:
+    """The counts of a slice, whose number tells their width."""
+    return np.frombuffer(packed, f"u{len(packed) // _SLICE}").astype(np.int64)
+
+
 def _count_shingles(blocks: DataFrame) -> np.ndarray:
-    """In how many documents the shingles of each counter occur; 1,024 rows of 8 KB to the driver."""
+    """In how many documents the shingles of each counter occur; 1,024 rows of 8 KB or less to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTERS, np.int64)
@@ -119,20 +129,20 @@ def _count_shingles(blocks: DataFrame) -> np.ndarray:
                 hashes, _ = shingles(block.data, block.starts)
                 total += np.bincount(_counter(hashes), minlength=len(total))
         if total.any():
-            rows = [part.tobytes() for part in total.reshape(-1, _SLICE)]
+            rows = [pack_counts(part) for part in total.reshape(-1, _SLICE)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows)], names=["slice", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(_SLICE, np.int64)
         for part in rows.column("counts").to_pylist():
-            total += np.frombuffer(part, np.int64)
-        return pa.table({"slice": rows.column("slice")[:1], "counts": pa.array([total.tobytes()])})
+            total += unpack_counts(part)
+        return pa.table({"slice": rows.column("slice")[:1], "counts": pa.array([pack_counts(total)])})
 
     kind = "slice long, counts binary"
     parts = blocks.select("block", "ids", "lengths", "data").mapInArrow(count, kind)
     out = np.zeros(1 << COUNTERS, np.int64)
     for row in parts.groupBy("slice").applyInArrow(add, kind).toLocalIterator():
-        out[row["slice"] * _SLICE : (row["slice"] + 1) * _SLICE] = np.frombuffer(row["counts"], np.int64)
+        out[row["slice"] * _SLICE : (row["slice"] + 1) * _SLICE] = unpack_counts(row["counts"])
     return out
 
 

@@ -136,6 +136,43 @@ def test_jaccard_query(spark):
     assert any(i != c for i, _, c in expected)
 
 
+def similar_pair(rng, n, percent):
+    """Two random sets of about ``n`` hashes, as similar as the percent says or just not."""
+    common = [rng.getrandbits(64) for _ in range(n * percent // 100)]
+    rest = [rng.getrandbits(64) for _ in range(n - len(common))]
+    cut = rng.randrange(len(rest) + 1)
+    return sorted(common + rest[:cut]), sorted(common + rest[cut:])
+
+
+def test_bit_strings_lose_no_link_and_drop_most_others(spark):
+    rng = random.Random(5)
+    sizes = [1, 2, 5, 63, 64, 65, 120, 129, 256, 257, 300, 700, 1025]
+    wanted = [(n, percent) for n in sizes for percent in (80, 82, 90, 100, 40) for _ in range(4)]
+    sets = [x for n, percent in wanted for x in similar_pair(rng, n, percent)]
+    n = np.array([len(x) for x in sets])
+    hashes = np.array([h for x in sets for h in x], np.uint64)
+    words, begins = jaccard.parities(hashes, np.repeat(np.arange(len(sets)), n), n)
+    rows = [(i, int(n[i]), (0, words[begins[i] : begins[i + 1]].tolist())) for i in range(len(sets))]
+    classes = spark.createDataFrame(rows, "node long, n long, home struct<block: long, bits: array<long>>")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(0, len(sets), 2)], "a long, b long")
+    kept = {r.a for r in jaccard._near_in_bits(pairs, classes).collect()}
+    linked = set()
+    for i in range(0, len(sets), 2):
+        a, b = set(sets[i]), set(sets[i + 1])
+        if 100 * len(a & b) >= 80 * len(a | b):
+            linked.add(i)
+    assert len(linked) > 150 and linked <= kept
+    unlike = {2 * k for k, (size, percent) in enumerate(wanted) if percent == 40 and size > 100}
+    assert len(unlike & kept) < len(unlike) / 10
+
+
+def test_counts_keep_their_values_in_any_width():
+    for most in (0, 1, 255, 256, 65_535, 65_536, 1 << 32, 1 << 40):
+        counts = np.zeros(1 << 10, np.int64)
+        counts[7] = most
+        assert (jaccard.unpack_counts(jaccard.pack_counts(counts)) == counts).all()
+
+
 def test_prefix_length():
     n = np.arange(0, 2000)
     needed = np.array([-(-80 * k // 100) for k in n.tolist()])
