@@ -88,7 +88,7 @@ def test_malformed_rows_cannot_be_overlooked(spark, tmp_path):
     lookup = tmp_path / "zones.csv"
     lookup.write_text("LocationID,Borough,Zone,service_zone\n1,Queens,a,s\n2x,Queens,b,s\n")
     with pytest.raises(Exception, match="Malformed zone id: 2x"):
-        readers.read_zones(spark, str(zones)).select("Borough").collect()
+        readers.read_zones(spark, str(lookup)).select("Borough").collect()
 
 
 def test_quarantine_keeps_the_line(spark, tmp_path):
