@@ -70,7 +70,7 @@ class MissingColumnsError(ValueError):
         super().__init__(f"Missing required columns: {', '.join(missing)}")
 
 
-def _widens(found: T.DataType, wanted: T.DataType) -> bool:
+def widens(found: T.DataType, wanted: T.DataType) -> bool:
     if found == wanted or isinstance(found, T.NullType) or isinstance(wanted, T.StringType):
         return True
     if isinstance(wanted, T.LongType):
@@ -117,7 +117,7 @@ def check_fields(found: T.StructType, wanted: T.StructType, exact_case: bool = F
     narrowed = [
         f"{f.name}: {types[f.name].simpleString()} to {f.dataType.simpleString()}"
         for f in wanted.fields
-        if not _widens(types[f.name], f.dataType)
+        if not widens(types[f.name], f.dataType)
     ]
     if narrowed:
         raise TypeError(f"Cannot widen columns: {', '.join(narrowed)}")

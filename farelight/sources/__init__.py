@@ -1,3 +1,4 @@
+from farelight.sources.layouts import read_layouts, rescued_report
 from farelight.sources.readers import (
     read_kpis,
     read_lines,
@@ -12,11 +13,13 @@ from farelight.sources.writers import write_csv, write_kpis, write_parquet, writ
 __all__ = [
     "names_frame",
     "read_kpis",
+    "read_layouts",
     "read_lines",
     "read_retail",
     "read_retail_quarantined",
     "read_trips",
     "read_zones",
+    "rescued_report",
     "write_csv",
     "write_kpis",
     "write_parquet",

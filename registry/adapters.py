@@ -84,6 +84,25 @@ def sparse_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_trip_files(spark: SparkSession, sf_dir: str) -> str:
+    """All trips in files of three layouts below one path, by kind of payment.
+
+    ``plain`` is the trip layout; ``lean`` has narrower passengers and lacks two columns;
+    ``loose`` has half passengers on short trips, and amounts as text, one of them a word.
+    """
+    rows = trips(spark, sf_dir)
+    path = saved(rows, "mixed")
+    plain, lean = F.col("payment_type").eqNullSafe(1), F.col("payment_type").eqNullSafe(2)
+    rows.filter(plain).write.parquet(f"{path}/plain")
+    narrow = rows.filter(lean).withColumn("passenger_count", F.col("passenger_count").cast("int"))
+    narrow.drop("congestion_surcharge", "airport_fee").write.parquet(f"{path}/lean")
+    half = F.col("passenger_count") + F.when(F.col("trip_distance") < 3, 0.5).otherwise(0.0)
+    fare = F.when(F.col("fare_amount") < 0, "unknown").otherwise(F.col("fare_amount").cast("string"))
+    loose = rows.filter(~plain & ~lean).withColumns({"passenger_count": half, "fare_amount": fare})
+    loose.write.parquet(f"{path}/loose")
+    return path
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(

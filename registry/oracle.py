@@ -20,6 +20,16 @@ trips AS (
   FROM (SELECT *, (microsecond(ts) - second(ts) * 1000000) // 10000 AS k FROM events)
 )"""
 
+MIXED = """
+kinds AS (
+  SELECT *, CASE payment_type WHEN 1 THEN 'plain' WHEN 2 THEN 'lean' ELSE 'loose' END AS kind FROM trips
+),
+mixed AS (
+  SELECT *, kind = 'loose' AND passenger_count IS NOT NULL AND trip_distance < 3 AS half,
+         kind = 'loose' AND fare_amount < 0 AS word
+  FROM kinds
+)"""
+
 ZONES = """
 zones AS (
   SELECT CAST(n_nationkey AS BIGINT) AS LocationID, r_name AS Borough, n_name AS Zone,
@@ -519,6 +529,18 @@ WHERE payment_type IS NULL
 GROUP BY ALL""",
     "status_events_once": with_(*TO_KPIS)
     + f"SELECT week_start || '|' || borough AS key, {KPI_COLUMNS} FROM kpis",
+    "trips_of_mixed_files": with_(TRIPS, MIXED)
+    + """
+SELECT kind, count(*) AS n_rows, count_if(half OR word) AS n_rescued,
+       count(passenger_count) FILTER (NOT half) AS n_passengers,
+       CAST(sum(passenger_count) FILTER (NOT half) AS BIGINT) AS passengers,
+       round(sum(fare_amount) FILTER (NOT word), 2) AS fares, count_if(kind <> 'lean') AS n_surcharges
+FROM mixed GROUP BY kind""",
+    "rescued_values": with_(TRIPS, MIXED)
+    + """
+SELECT kind, 'passenger_count' AS column_name, count(*) AS n_rescued FROM mixed WHERE half GROUP BY kind
+UNION ALL
+SELECT kind, 'fare_amount', count(*) FROM mixed WHERE word GROUP BY kind""",
     "gate_repeated_ids": union(
         [
             f"SELECT '{source}' AS source, '{keys.replace(' ', '')}' AS key_columns, "

@@ -14,7 +14,7 @@ from farelight.plans import kpis, marts
 from farelight.plans.gold import GoldTable
 from farelight.schemas import DROPOFF, PICKUP
 from farelight.session import pin_utc
-from farelight.sources import readers, writers
+from farelight.sources import layouts, readers, writers
 from farelight.streaming import outbox, status
 from farelight.streaming.trips import late_trips, stream_trips
 from registry import adapters
@@ -438,6 +438,36 @@ def text_stats_by_file(spark, sf_dir):
     return files.groupBy(source).agg(F.sum("n_chars").alias("n_chars"), F.sum("n_lines").alias("n_lines"))
 
 
+# --- files of several layouts --------------------------------------------------
+
+
+def _kind_of_file() -> Column:
+    return F.regexp_extract("source_file", "/([a-z]+)/[^/]*$", 1).alias("kind")
+
+
+@query
+def trips_of_mixed_files(spark, sf_dir):
+    rows = layouts.read_layouts(spark, adapters.mixed_trip_files(spark, sf_dir))
+    return _rounded(
+        rows.groupBy(_kind_of_file()).agg(
+            F.count("*").alias("n_rows"),
+            F.count("rescued").alias("n_rescued"),
+            F.count("passenger_count").alias("n_passengers"),
+            F.sum("passenger_count").alias("passengers"),
+            F.sum("fare_amount").alias("fares"),
+            F.count("congestion_surcharge").alias("n_surcharges"),
+        ),
+        2,
+    )
+
+
+@query
+def rescued_values(spark, sf_dir):
+    rows = layouts.read_layouts(spark, adapters.mixed_trip_files(spark, sf_dir))
+    report = layouts.rescued_report(rows)
+    return report.groupBy(_kind_of_file(), "column_name").agg(F.sum("n_rescued").alias("n_rescued"))
+
+
 # --- retail ------------------------------------------------------------------
 
 
