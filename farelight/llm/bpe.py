@@ -15,6 +15,7 @@ import re
 from collections.abc import Callable, Iterable
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -89,7 +90,8 @@ ends as (select w, pos, tok from last where round = final)
 """
 
 _DECODE = """
-select w, string_agg(tok::varchar, ',' order by pos), count(*), string_agg(v.hex, '' order by pos)
+select w, string_agg(tok::varchar, ',' order by pos) as ids, count(*) as n,
+    unhex(string_agg(v.hex, '' order by pos)) as decoded
 from ends join vocabulary v on v.id = ends.tok group by w
 """
 
@@ -124,19 +126,19 @@ class Encoder:
         self.db.execute("create table merges as select l::int l, r::int r, t::int t, solo from merges")
         self.db.execute("create table vocabulary as select id::int id, hex from vocabulary")
         self.token_bytes = {rank: token for token, rank in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.young: dict[str, tuple[str, int, bytes]] = {}
         self.old: dict[str, tuple[str, int, bytes]] = {}
 
     def _merge(self, query: str, pieces: list[bytes]) -> dict[int, tuple[str, int, bytes]]:
-        w = [i for i, p in enumerate(pieces) for _ in p]
-        pos = [j for p in pieces for j in range(len(p))]
-        tok = [self.single[b] for p in pieces for b in p]
-        columns = [pa.array(x, pa.int32()) for x in (w, pos, tok)]
+        sizes = np.fromiter(map(len, pieces), np.int32, len(pieces))
+        w = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        pos = np.arange(len(w), dtype=np.int32) - np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, sizes)
+        columns = [pa.array(x) for x in (w, pos, self.single[np.frombuffer(b"".join(pieces), np.uint8)])]
         self.db.register("start", pa.Table.from_arrays(columns, names=["w", "pos", "tok"]))
         rows = self.db.execute(query + _DECODE).fetchall()
         self.db.unregister("start")
-        return {i: (ids, n, bytes.fromhex(data)) for i, ids, n, data in rows}
+        return {i: (ids, n, data) for i, ids, n, data in rows}
 
     def learn(self, pieces: Iterable[str]) -> dict[str, tuple[str, int, bytes]]:
         """Ids as text, their number and the decoded bytes of each piece."""
