@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from farelight.llm.common import map_rows, sha256_hex
 
-#: Pieces in one recursive query, pieces remembered by a worker (twice that at most), and
-#: the length in bytes from which a piece is contracted at all places of a pair at once.
+#: Documents whose pieces are held at a time, pieces in one recursive query, pieces remembered
+#: by a worker (twice that at most), and the length in bytes from which a piece is contracted
+#: at all places of a pair at once.
+DOCS_AT_ONCE = 256
 PIECES_AT_ONCE = 8_000
 REMEMBERED = 150_000
 LONG_PIECE = 64
@@ -120,15 +122,35 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         rows = merge_rows(ranks)
-        self.db = duckdb.connect(":memory:", config=_DUCKDB)
-        merges = pa.table(dict(zip(("l", "r", "t", "solo"), map(list, zip(*rows, strict=True)), strict=True)))  # noqa: F841
-        vocabulary = pa.table({"id": list(ranks.values()), "hex": [t.hex() for t in ranks]})  # noqa: F841
-        self.db.execute("create table merges as select l::int l, r::int r, t::int t, solo from merges")
-        self.db.execute("create table vocabulary as select id::int id, hex from vocabulary")
+        kinds = {"l": pa.int32(), "r": pa.int32(), "t": pa.int32(), "solo": pa.bool_()}
+        self.merges = pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], list(kinds))
+        self.vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.young: dict[str, tuple[str, int, bytes]] = {}
         self.old: dict[str, tuple[str, int, bytes]] = {}
+        self._db: duckdb.DuckDBPyConnection | None = None
+
+    @property
+    def db(self) -> duckdb.DuckDBPyConnection:
+        """DuckDB with the tables of the tokenizer, opened when a task first needs it."""
+        if self._db is None:
+            self._db = duckdb.connect(":memory:", config=_DUCKDB)
+            for name, rows in (("merges", self.merges), ("vocabulary", self.vocabulary)):
+                self._db.register("given", rows)
+                self._db.execute(f"create table {name} as select * from given")
+                self._db.unregister("given")
+        return self._db
+
+    def rest(self) -> None:
+        """Close DuckDB until the next task; the pieces stay.
+
+        Spark keeps workers between tasks and stages, and an open DuckDB keeps what its queries
+        have freed, which the executor would lack in the stages that follow.
+        """
+        if self._db is not None:
+            self._db.close()
+            self._db = None
 
     def _merge(self, query: str, pieces: list[bytes]) -> dict[int, tuple[str, int, bytes]]:
         sizes = np.fromiter(map(len, pieces), np.int32, len(pieces))
@@ -181,6 +203,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def rest() -> None:
+    """Let the worker's encoders rest."""
+    for model in _ENCODERS.values():
+        model.rest()
+
+
 #: Letters, decimal digits and white space of these texts mean the same to ``re`` and to the
 #: Unicode properties of the pattern: Latin-1 without its superscripts, fractions and ordinals.
 _PLAIN = re.compile("[\x20-\x7e\\n\\t\\r\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\xff]*")
@@ -223,19 +251,24 @@ def digest(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id:
 
 
 def _run(docs: DataFrame, text: str, doc_id: str, schema: str, work: Callable) -> DataFrame:
-    return map_rows(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), schema, work)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return map_rows(rows, schema, work, rest)
 
 
 def _encoded(batch: pa.RecordBatch, path: str, pattern: str, output: Callable, *kinds: pa.DataType) -> pa.RecordBatch:
     split, model = splitter(pattern), encoder(path)
-    pieces = [split(t or "") for t in batch.column(1).to_pylist()]
-    known = model.learn(set().union(*pieces))
+    texts = batch.column(1)
     counts, first, second = [], [], []
-    for doc in pieces:
-        parts = [known[p] for p in doc]
-        a, b = output(",".join([p[0] for p in parts]), b"".join([p[2] for p in parts]))
-        counts.append(sum([p[1] for p in parts]))
-        first.append(a)
-        second.append(b)
+    for at in range(0, len(texts), DOCS_AT_ONCE):
+        # A piece is held once, however often the texts have it.
+        met: dict[str, str] = {}
+        pieces = [[met.setdefault(p, p) for p in split(t or "")] for t in texts.slice(at, DOCS_AT_ONCE).to_pylist()]
+        known = model.learn(met)
+        for doc in pieces:
+            parts = [known[p] for p in doc]
+            a, b = output(",".join([p[0] for p in parts]), b"".join([p[2] for p in parts]))
+            counts.append(sum([p[1] for p in parts]))
+            first.append(a)
+            second.append(b)
     columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, kinds[0]), pa.array(second, kinds[1])]
     return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "first", "second"])

@@ -46,14 +46,26 @@ def sha256_hex(data: bytes) -> str:
 
 
 def map_rows(
-    df: DataFrame, schema: str | T.StructType, work: Callable[[pa.RecordBatch], pa.RecordBatch | None]
+    df: DataFrame,
+    schema: str | T.StructType,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    after: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` for a function from batch to batch."""
+    """``mapInArrow`` for a function from batch to batch; ``after`` is called at the end of a task.
+
+    Spark keeps a worker for the tasks and stages that follow, so what Arrow has freed is given
+    back then, too.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None:
-                yield out
+        try:
+            for batch in batches:
+                if batch.num_rows and (out := work(batch)) is not None:
+                    yield out
+        finally:
+            if after is not None:
+                after()
+            pa.default_memory_pool().release_unused()
 
     bound_batches(df.sparkSession)
     return df.mapInArrow(each, schema)

@@ -153,7 +153,12 @@ def slots(spark: SparkSession, sources: Sequence[Source], seed: int = SEED) -> D
                     [pa.array(x) for x in columns], names=["shard", "number", "slot", "round", "block"]
                 )
 
-    drawn = spark.createDataFrame(list(draw(sources, seed)), "shard long, number long, first long, count long")
+    # As Arrow; rows of Python objects would pass through workers of their own on each executor.
+    # Spark knows the size of this table and not how far the ranges expand, so what is made of
+    # them has a hint where it is joined, or it would be broadcast.
+    rows = np.array(list(draw(sources, seed)), np.int64).reshape(-1, 4)
+    names = ["shard", "number", "first", "count"]
+    drawn = spark.createDataFrame(pa.Table.from_arrays([pa.array(c) for c in rows.T.copy()], names))
     # At most so many slots of one shard and source are laid out at a time.
     end = F.col("first") + F.col("count")
     begin = F.explode(F.sequence("first", end - 1, F.lit(SLOTS_AT_ONCE)))
@@ -165,10 +170,11 @@ def slots(spark: SparkSession, sources: Sequence[Source], seed: int = SEED) -> D
 def place(sized: DataFrame, sources: Sequence[Source]) -> DataFrame:
     """Rows with ``number`` of their source and ``at``, the place of their first word in it."""
     spark = sized.sparkSession
-    facts = spark.createDataFrame(
-        [(s.name, s.number, s.size, s.target, s.start, s.block) for s in sources],
-        "name string, number long, source_size long, target double, start long, block_words long",
-    )
+    rows = [(s.name, s.number, s.size, s.target, s.start, s.block) for s in sources]
+    names = ("name", "number", "source_size", "target", "start", "block_words")
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+    facts = spark.createDataFrame(pa.Table.from_arrays(columns, names))
     # One row per source; Spark broadcasts it if it is small.
     joined = sized.join(facts, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     order = [F.col("number"), F.col("doc_id").asc_nulls_last(), F.col("size"), F.col("row")]
@@ -216,14 +222,14 @@ def mixture(docs: DataFrame, text: str = "text", source: str = "source", doc_id:
     sized = sizes(docs, text, source, doc_id)
     sources = plan(sized)
     placed = written(place(sized, sources), "placed")
-    times = slots(docs.sparkSession, sources).groupBy("number", "block").agg(F.count("*").alias("times"))
+    times = slots(docs.sparkSession, sources).groupBy("number", "block").agg(F.count("*").alias("times")).hint("merge")
     taken = (
         fragments(placed)
         .join(times, ["number", "block"])
         .groupBy("row")
         .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     )
-    return placed.join(taken, "row", "left").select(
+    return placed.join(taken.hint("merge"), "row", "left").select(
         "doc_id", "row", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
     )
 
@@ -233,7 +239,7 @@ def taken_parts(docs: DataFrame, text: str, source: str, doc_id: str, row: str)
     sized = sizes(docs, text, source, doc_id, F.col(row))
     sources = plan(sized)
     placed = written(place(sized, sources), "placed")
-    times = slots(docs.sparkSession, sources).groupBy("number", "block").agg(F.count("*").alias("times"))
+    times = slots(docs.sparkSession, sources).groupBy("number", "block").agg(F.count("*").alias("times")).hint("merge")
     copies = fragments(placed).join(times, ["number", "block"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     parts = F.sort_array(F.collect_list(F.struct("first", "words")))
     return copies.groupBy("row", "copy").agg(parts.alias("parts"))
@@ -270,7 +276,7 @@ def mix_documents(
     # come or gone in between, for files are cut by the cores there are.
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     numbered = written(docs.toDF(*names.values()).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    marked = numbered.join(taken_parts(numbered, names[text], names[source], names[doc_id], "row"), "row")
+    marked = numbered.join(taken_parts(numbered, names[text], names[source], names[doc_id], "row").hint("merge"), "row")
     at, what = marked.columns.index(names[text]), marked.columns.index("parts")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
