@@ -119,6 +119,37 @@ def test_topk_with_ties(spark):
     assert got == want
 
 
+@pytest.mark.parametrize(("size", "asking", "held"), [(5, 3, 2), (64, 16, 512)])
+def test_topk_over_many_blocks(spark, monkeypatch, size, asking, held):
+    """Common and rare terms, small and large weights, repeated ids, blocks with fewer rows than k."""
+    for name, value in (("CANDIDATES", size), ("QUERIES", asking), ("HELD", held)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(2)
+    whole = np.hstack([rng.integers(-2, 3, (300, 6)), rng.integers(-300, 300, (300, 40)) * (rng.random((300, 40)) < 0.02)])
+    whole[rng.random(300) < 0.02, 1] = 70_000_000
+    lengths = rng.integers(0, 47, 300)
+    whole[np.arange(46) >= lengths[:, None]] = 0
+    ids = rng.integers(0, 150, 300)
+    rows = [(int(i), (v[:n] / 256.0).tolist()) for i, v, n in zip(ids, whole, lengths, strict=True)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.search(vectors, F.col("vec_id") % 10 == 0, k=7)
+    want = []
+    for i in np.flatnonzero(ids % 10 == 0):
+        scores = whole @ whole[i]
+        order = sorted((j for j in range(300) if ids[j] != ids[i]), key=lambda j: (-int(scores[j]), ids[j]))[:7]
+        want += [(int(ids[i]), n, int(ids[j]), int(scores[j])) for n, j in enumerate(order, 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_topk_sends_no_copies_of_queries(spark):
+    """A block of queries meets all blocks of candidates, but no copy of it for each of them is made or broadcast."""
+    rows = [(i, [i / 256.0, 1.0]) for i in range(200)]
+    found = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and "SortMergeJoin" not in plan
+    assert found.count() == 20
+
+
 def test_bpe_against_the_library(docs, texts):
     import tiktoken
 
